@@ -6,10 +6,10 @@ are compressed into one day, and every twentieth event is broken in one of eight
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fluxwell.functions.instants import as_timestamp, format_instant
+from fluxwell.functions.instants import as_timestamp
 from fluxwell.functions.pinning import pin
 from fluxwell.operators.route import message_json
 from fluxwell.schema import SECTIONS
@@ -34,100 +34,130 @@ def telemetry(source: DataFrame, since=None) -> DataFrame:
     ``since`` (event time, inclusive) is also put on the stored timestamp, so the bound
     reaches the file scan.
     """
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
     if since is not None:
         shift = F.unix_micros(as_timestamp(since)) - F.lit(_BASE)
         bound = F.timestamp_micros(F.lit(_BASE) + shift * _COMPRESSION).cast("timestamp_ntz")
         source = source.where(F.col("ts") >= bound)
     b = pin(
-        source.select(
-            F.col("event_id").alias("e"),
-            F.col("user_id").alias("u"),
-            F.col("event_type").alias("et"),
-            F.col("value").alias("v"),
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
-            F.timestamp_micros(
-                F.expr(f"{_BASE} + (unix_micros(CAST(ts AS TIMESTAMP)) - {_BASE}) div {_COMPRESSION}")
-            ).alias("event_time"),
+        source.selectExpr(
+            "event_id AS e",
+            "user_id AS u",
+            "event_type AS et",
+            "value AS v",
+            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+            f"timestamp_micros({_TIME_US}) AS event_time",
         ),
         "k",
         "event_time",
     )
-    e, u, et, v, k = (F.col(c) for c in ("e", "u", "et", "v", "k"))
-    broken = e % 160
-    third = u % 3
-
-    def d(x):
-        return (x if hasattr(x, "cast") else F.lit(x)).cast("double")
-
-    site = lambda a, b_, c: F.when(third == 0, a).when(third == 1, b_).otherwise(c)
-    leaves = {
-        "location.latitude": site(-1.286389, -0.091702, -4.04374),
-        "location.longitude": site(36.817223, 34.768017, 39.668207),
-        "location.region": site("Nairobi", "Kisumu", "Mombasa"),
-        "solar_panel.irradiance_w_m2": k * d(11.0),
-        "solar_panel.voltage_v": d(48.0),
-        "solar_panel.current_a": v / 12.5,
-        "solar_panel.power_w": v * d(8.0),
-        "solar_panel.temperature_c": d(20 + k % 40),
-        "pump.motor_voltage_v": d(46.0),
-        "pump.motor_current_a": d(k % 25),
-        "pump.rpm": F.when(broken == 20, F.lit(-100)).otherwise(k * 30),
-        "pump.flow_rate_lpm": F.when(broken == 0, d(-1.0) - v).otherwise(v),
-        "pump.discharge_pressure_bar": d(k % 5),
-        "pump.suction_pressure_bar": d(0.25),
-        "pump.water_temperature_c": d(18 + k % 10),
-        "system.operating_hours": d(1000 + e % 4000),
-        "system.vibration_mm_s": d(e % 40) / d(8.0),
-        "system.error_code": F.when(et == "error", 9010 + 10 * (e % 3).cast("int")).otherwise(F.lit(0)),
-        "system.status": F.when(broken == 80, F.lit("  "))
-        .when(et != "error", F.lit("OPERATIONAL"))
-        .when(e % 3 == 0, F.lit("FAULTED"))
-        .when(e % 3 == 1, F.lit("ALERT"))
-        .otherwise(F.lit("DEGRADED")),
-        "environment.ambient_temperature_c": d(25 + k % 10),
-        "environment.humidity_percent": d(k % 100),
-    }
-    present = {
-        "location": e % 11 != 5,
-        "pump": broken != 40,
-        "environment": e % 7 != 3,
-    }
-    pump_id = F.when(broken == 60, F.lit(None)).otherwise(
-        F.concat(F.lit("PUMP_"), F.lpad(u.cast("string"), 3, "0"))
-    )
-    text = (
-        F.when(broken == 100, F.lit("2024-01-02T00:10:00.000000Z"))
-        .when(broken == 120, F.lit("not-a-date"))
-        .otherwise(format_instant(F.col("event_time")))
-    )
-    fields = [pump_id.alias("pump_id"), text.alias("timestamp")]
+    fields = [
+        "'pump_id', CASE WHEN e % 160 <> 60 THEN concat('PUMP_', lpad(CAST(u AS STRING), 3, '0')) END",
+        f"'timestamp', {_TIMESTAMP}",
+    ]
     for section, names in SECTIONS.items():
-        body = F.struct(*[leaves[f"{section}.{name}"].cast(kind).alias(name) for name, kind in names])
-        if section in present:
-            body = F.when(present[section], body)
-        fields.append(body.alias(section))
-    return b.select("event_time", F.struct(*fields).alias("msg"), (broken != 140).alias("parse_ok"))
+        body = ", ".join(f"'{name}', CAST({_LEAVES[f'{section}.{name}']} AS {kind})" for name, kind in names)
+        body = f"named_struct({body})"
+        if section in _PRESENT:
+            body = f"CASE WHEN {_PRESENT[section]} THEN {body} END"
+        fields.append(f"'{section}', {body}")
+    return b.selectExpr("event_time", f"named_struct({', '.join(fields)}) AS msg", "e % 160 <> 140 AS parse_ok")
+
+
+_TIME_US = f"{_BASE} + (unix_micros(CAST(ts AS TIMESTAMP)) - {_BASE}) div {_COMPRESSION}"
+
+# --- Fixed values: the derived message ------------------------------------------------------
+_TIMESTAMP = """CASE e % 160 WHEN 100 THEN '2024-01-02T00:10:00.000000Z' WHEN 120 THEN 'not-a-date'
+  ELSE date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END"""
+_LEAVES = {
+    "location.latitude": "CASE u % 3 WHEN 0 THEN -1.286389D WHEN 1 THEN -0.091702D ELSE -4.04374D END",
+    "location.longitude": "CASE u % 3 WHEN 0 THEN 36.817223D WHEN 1 THEN 34.768017D ELSE 39.668207D END",
+    "location.region": "CASE u % 3 WHEN 0 THEN 'Nairobi' WHEN 1 THEN 'Kisumu' ELSE 'Mombasa' END",
+    "solar_panel.irradiance_w_m2": "k * 11.0D",
+    "solar_panel.voltage_v": "48.0D",
+    "solar_panel.current_a": "v / 12.5D",
+    "solar_panel.power_w": "v * 8.0D",
+    "solar_panel.temperature_c": "20 + k % 40",
+    "pump.motor_voltage_v": "46.0D",
+    "pump.motor_current_a": "k % 25",
+    "pump.rpm": "CASE WHEN e % 160 = 20 THEN -100 ELSE k * 30 END",
+    "pump.flow_rate_lpm": "CASE WHEN e % 160 = 0 THEN -1.0D - v ELSE v END",
+    "pump.discharge_pressure_bar": "k % 5",
+    "pump.suction_pressure_bar": "0.25D",
+    "pump.water_temperature_c": "18 + k % 10",
+    "system.operating_hours": "1000 + e % 4000",
+    "system.vibration_mm_s": "(e % 40) / 8.0D",
+    "system.error_code": "CASE WHEN et = 'error' THEN 9010 + 10 * (e % 3) ELSE 0 END",
+    "system.status": """CASE WHEN e % 160 = 80 THEN '  ' WHEN et <> 'error' THEN 'OPERATIONAL'
+      WHEN e % 3 = 0 THEN 'FAULTED' WHEN e % 3 = 1 THEN 'ALERT' ELSE 'DEGRADED' END""",
+    "environment.ambient_temperature_c": "25 + k % 10",
+    "environment.humidity_percent": "k % 100",
+}
+_PRESENT = {"location": "e % 11 <> 5", "pump": "e % 160 <> 40", "environment": "e % 7 <> 3"}
+_CUT = "CASE WHEN parse_ok THEN _json ELSE left(_json, length(_json) - 1) END AS value"
 
 
 def messages(source: DataFrame, since=None) -> DataFrame:
     """Already parsed form, as ``ingest.parse`` would return it."""
-    frame = telemetry(source, since)
-    text = message_json(F.col("msg"))
-    return frame.select(
-        "event_time",
-        _cut(text).alias("value"),
-        F.when(F.col("parse_ok"), F.col("msg")).alias("msg"),
-        F.when(~F.col("parse_ok"), F.lit("malformed document")).alias("parse_error"),
+    return (
+        telemetry(source, since)
+        .withColumn("_json", F.expr(message_json()))
+        .selectExpr(
+            "event_time",
+            _CUT,
+            "CASE WHEN parse_ok THEN msg END AS msg",
+            "CASE WHEN NOT parse_ok THEN 'malformed document' END AS parse_error",
+        )
     )
 
 
 def payloads(source: DataFrame, since=None) -> DataFrame:
     """Raw JSON form: one document per row in ``value``."""
-    frame = telemetry(source, since).withColumn("_json", message_json(F.col("msg")))
-    return pin(frame.select("event_time", _cut(F.col("_json")).alias("value")), "value")
+    frame = telemetry(source, since).withColumn("_json", F.expr(message_json()))
+    return pin(frame.selectExpr("event_time", _CUT), "value")
+
+
+SCRAPE_SECONDS = 15
+_SLOTS = 86400 // SCRAPE_SECONDS
+
 
+def metric_samples(source: DataFrame) -> DataFrame:
+    """Samples every 15 s of the day, per event type, from counts of events so far.
 
-def _cut(text):
-    """A document that should not parse loses its last brace."""
-    return F.when(F.col("parse_ok"), text).otherwise(F.left(text, F.length(text) - 1))
+    Two counters (restarted at noon), a gauge and an up flag. Events are counted per slot
+    before anything is ordered, so the running totals see a fixed number of rows per kind.
+    """
+    slot = F.floor((F.unix_micros("event_time") - _BASE) / (SCRAPE_SECONDS * 1_000_000))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    counts = (
+        source.select(
+            F.col("event_type").alias("kind"), F.timestamp_micros(F.expr(_TIME_US)).alias("event_time"), k.alias("k")
+        )
+        .groupBy("kind", slot.alias("slot"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"))
+    )
+    grid = counts.select("kind").distinct().select(
+        "kind", F.explode(F.expr(f"sequence(0L, {_SLOTS - 1}L)")).alias("slot")
+    )
+    running = Window.partitionBy("kind", F.col("slot") >= _SLOTS // 2).orderBy("slot")
+    filled = (
+        grid.join(counts, ["kind", "slot"], "left")
+        .select("kind", "slot", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"))
+        .withColumn("total_n", F.sum("n").over(running))
+        .withColumn("total_k", F.sum("k").over(running))
+    )
+
+    def sample(metric: str, label: str, value):
+        return F.struct(
+            F.lit(metric).alias("metric"),
+            F.create_map(F.lit(label), F.col("kind")).alias("labels"),
+            value.cast("double").alias("value"),
+        )
+
+    rows = F.array(
+        sample("messages_published_total", "kind", F.col("total_n")),
+        sample("message_units_total", "kind", F.col("total_k")),
+        sample("queue_messages", "queue", F.col("n")),
+        sample("up", "job", (F.col("n") > 0).cast("int")),
+    )
+    at = F.timestamp_micros((F.col("slot") + 1) * (SCRAPE_SECONDS * 1_000_000) + _BASE)
+    return filled.select(at.alias("ts"), F.inline(rows))

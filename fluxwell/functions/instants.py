@@ -10,23 +10,23 @@ from pyspark.sql import functions as F
 # Fixed value: UTC instant with seconds and up to nine fraction digits.
 INSTANT = r"^(?:\d{4}|[+-]\d{4,6})-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(?:\.\d{0,9})?[Zz]$"
 
-AsOf = "Column | datetime | str | None"
 
-
-def parse_instant(text: Column) -> Column:
-    """Timestamp of a strict UTC instant, NULL for anything else.
+def parse_instant(text: str) -> Column:
+    """Timestamp of a strict UTC instant in SQL expression ``text``, else NULL.
 
     Offsets, date-only and space-separated forms are refused although a plain cast takes
-    them; midnight written as 24:00:00 and a leap second are accepted.
+    them; lower-case letters, midnight written as 24:00:00 and a leap second are accepted.
     """
-    bare = F.regexp_replace(F.upper(text), r"\.?Z$", "Z")
-    midnight = F.date_add(F.substring(text, 1, 10).try_cast("date"), 1).cast("timestamp")
-    rare = (
-        F.when(text.rlike(r"[Tt]24:00:00(?:\.0*)?[Zz]$"), midnight)
-        .when(text.rlike(r"[Tt]23:59:60"), F.regexp_replace(bare, ":60", ":59").try_cast("timestamp"))
-        .otherwise(bare.try_cast("timestamp"))
+    bare = f"regexp_replace(upper({text}), r'\\.?Z$', 'Z')"
+    return F.expr(
+        f"""CASE WHEN {text} RLIKE r'{INSTANT}' THEN coalesce(
+          try_cast({text} AS timestamp),
+          CASE WHEN {text} RLIKE r'[Tt]24:00:00(?:\\.0*)?[Zz]$'
+                 THEN CAST(date_add(try_cast(left({text}, 10) AS date), 1) AS timestamp)
+               WHEN {text} RLIKE r'[Tt]23:59:60'
+                 THEN try_cast(replace({bare}, ':60', ':59') AS timestamp)
+               ELSE try_cast({bare} AS timestamp) END) END"""
     )
-    return F.when(text.rlike(INSTANT), F.coalesce(text.try_cast("timestamp"), rare))
 
 
 def format_instant(ts: Column) -> Column:

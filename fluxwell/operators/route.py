@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluxwell.functions.instants import format_instant, parse_instant
-from fluxwell.functions.pinning import pin
 from fluxwell.schema import (
     DEAD,
     DESERIALIZATION_ERROR,
@@ -23,72 +22,81 @@ from fluxwell.sources.ingest import with_defaults
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def message_json(msg: Column) -> Column:
-    """Canonical JSON of a message: declared fields only, absent sections as null."""
-    return F.to_json(with_defaults(msg), _KEEP_NULLS)
+def message_json(msg: str = "msg") -> str:
+    """SQL of a message's canonical JSON: declared fields only, absent sections as null."""
+    return f"to_json({with_defaults(msg)}, map('ignoreNullFields', 'false'))"
 
 
 def split(judged: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(valid, unreadable, invalid)``: the main stream and its two side outputs."""
-    judged = pin(judged, *[c for c in ("msg", "parse_error", "time", "error") if c in judged.columns])
-    readable = judged.where(F.col("parse_error").isNull())
+    readable = judged.where("parse_error IS NULL")
     return (
-        readable.where(F.col("error").isNull()),
-        judged.where(F.col("parse_error").isNotNull()),
-        readable.where(F.col("error").isNotNull()),
+        readable.where("error IS NULL"),
+        judged.where("parse_error IS NOT NULL"),
+        readable.where("error IS NOT NULL"),
     )
 
 
-def _flat_columns() -> list[Column]:
-    out = []
+def _flat_columns() -> dict[str, str]:
+    """SQL of every table column taken from the message."""
+    out = {}
     for column, path, kind, absent in RAW_FROM_MESSAGE:
-        leaf = F.col(f"msg.{path}")
-        if kind != "string":
-            leaf = F.coalesce(leaf, F.lit(0).cast(kind))
+        leaf = f"msg.{path}" if kind == "string" else f"coalesce(msg.{path}, {kind}(0))"
         if absent is not None:
-            section = F.col("msg." + path.split(".")[0])
-            leaf = F.when(section.isNull(), F.lit(absent).cast(kind)).otherwise(leaf)
-        out.append(leaf.alias(column))
+            section = path.split(".")[0]
+            literal = f"'{absent}'" if kind == "string" else f"{kind}({absent})"
+            leaf = f"CASE WHEN msg.{section} IS NULL THEN {literal} ELSE {leaf} END"
+        out[column] = leaf
     return out
 
 
+# SQL of the dead-letter columns of a row that is known to be bad.
+_UNREADABLE = {
+    "pump_id": f"'{UNKNOWN_PUMP}'",
+    "error_type": f"'{DESERIALIZATION_ERROR}'",
+    "error_reason": f"concat('{PARSE_PREFIX}', parse_error)",
+    "original_payload": "value",
+}
+_INVALID = {
+    "pump_id": f"CASE WHEN msg IS NULL THEN '{UNKNOWN_PUMP}' ELSE msg.pump_id END",
+    "error_type": "error.error_type",
+    "error_reason": "error.error_reason",
+    "original_payload": f"CASE WHEN msg IS NULL THEN 'null' ELSE {message_json()} END",
+}
+_DEAD = {
+    name: f"CASE WHEN parse_error IS NOT NULL THEN {_UNREADABLE[name]} ELSE {_INVALID[name]} END"
+    for name in _INVALID
+}
+
+
+def _select(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return frame.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
+
+
+def _stamped(frame: DataFrame, failed_at: Column | None) -> DataFrame:
+    stamp = F.current_timestamp() if failed_at is None else failed_at
+    return frame.withColumn("error_timestamp", stamp)
+
+
 def flatten(valid: DataFrame) -> DataFrame:
     """Valid messages as the 23 columns of ``raw_telemetry``."""
-    return valid.select("time", F.col("msg.pump_id").alias("pump_id"), *_flat_columns())
+    return _select(valid, {"time": "time", "pump_id": "msg.pump_id", **_flat_columns()})
 
 
 def parse_dlq(unreadable: DataFrame, failed_at: Column | None = None) -> DataFrame:
     """Dead letters of payloads that are not a message; the payload stays as received."""
-    return unreadable.select(
-        _failed_at(failed_at),
-        F.lit(UNKNOWN_PUMP).alias("pump_id"),
-        F.lit(DESERIALIZATION_ERROR).alias("error_type"),
-        F.concat(F.lit(PARSE_PREFIX), F.col("parse_error")).alias("error_reason"),
-        F.col("value").alias("original_payload"),
-    )
+    return _select(_stamped(unreadable, failed_at), {"error_timestamp": "error_timestamp", **_UNREADABLE})
 
 
 def validation_dlq(invalid: DataFrame, failed_at: Column | None = None) -> DataFrame:
     """Dead letters of messages that break a rule; ``pump_id`` is NULL when it was missing."""
-    return invalid.select(
-        _failed_at(failed_at),
-        F.when(F.col("msg").isNull(), F.lit(UNKNOWN_PUMP)).otherwise(F.col("msg.pump_id")).alias("pump_id"),
-        F.col("error.error_type").alias("error_type"),
-        F.col("error.error_reason").alias("error_reason"),
-        F.when(F.col("msg").isNull(), F.lit("null"))
-        .otherwise(message_json(F.col("msg")))
-        .alias("original_payload"),
-    )
+    return _select(_stamped(invalid, failed_at), {"error_timestamp": "error_timestamp", **_INVALID})
 
 
 def dlq(judged: DataFrame, failed_at: Column | None = None) -> DataFrame:
-    """Both kinds of dead letters."""
-    _, unreadable, invalid = split(judged)
-    return parse_dlq(unreadable, failed_at).unionByName(validation_dlq(invalid, failed_at))
-
-
-def _failed_at(failed_at: Column | None) -> Column:
-    return (F.current_timestamp() if failed_at is None else failed_at).alias("error_timestamp")
+    """Both kinds of dead letters: ``parse_dlq`` and ``validation_dlq`` in one pass."""
+    dead = judged.where("parse_error IS NOT NULL OR error IS NOT NULL")
+    return _select(_stamped(dead, failed_at), {"error_timestamp": "error_timestamp", **_DEAD})
 
 
 def outcomes(judged: DataFrame, failed_at: Column | None = None) -> DataFrame:
@@ -99,42 +107,38 @@ def outcomes(judged: DataFrame, failed_at: Column | None = None) -> DataFrame:
     ``outcome`` and ``date`` partitions. The helper columns are what is needed to give a
     valid row back as its message.
     """
-    unreadable = F.col("parse_error").isNotNull()
-    good = ~unreadable & F.col("error").isNull()
-    stamp = F.current_timestamp() if failed_at is None else failed_at
-    columns = {"time": F.when(good, F.col("time"))}
-    columns["pump_id"] = F.when(unreadable | F.col("msg").isNull(), F.lit(UNKNOWN_PUMP)).otherwise(
-        F.col("msg.pump_id")
-    )
-    for (name, *_), column in zip(RAW_FROM_MESSAGE, _flat_columns()):
-        columns[name] = F.when(good, column)
-    columns["error_timestamp"] = F.when(~good, stamp)
-    columns["error_type"] = F.when(unreadable, F.lit(DESERIALIZATION_ERROR)).otherwise(
-        F.col("error.error_type")
-    )
-    columns["error_reason"] = F.when(
-        unreadable, F.concat(F.lit(PARSE_PREFIX), F.col("parse_error"))
-    ).otherwise(F.col("error.error_reason"))
-    columns["original_payload"] = F.when(unreadable, F.col("value")).when(
-        ~good, F.when(F.col("msg").isNull(), F.lit("null")).otherwise(message_json(F.col("msg")))
+    good = {
+        "time": "time",
+        **_flat_columns(),
+        "timestamp_text": "msg.timestamp",
+        "has_location": "msg.location IS NOT NULL",
+        "has_environment": "msg.environment IS NOT NULL",
+    }
+    dead = {"error_timestamp": "error_timestamp", **{k: v for k, v in _DEAD.items() if k != "pump_id"}}
+    columns = {name: f"CASE WHEN _good THEN {sql} END" for name, sql in good.items()}
+    columns |= {name: f"CASE WHEN NOT _good THEN {sql} END" for name, sql in dead.items()}
+    columns["pump_id"] = _DEAD["pump_id"]
+    columns["outcome"] = f"CASE WHEN _good THEN '{VALID}' ELSE '{DEAD}' END"
+    columns["date"] = "to_date(CASE WHEN _good THEN time ELSE error_timestamp END)"
+    flagged = _stamped(judged, failed_at).withColumn(
+        "_good", F.expr("parse_error IS NULL AND error IS NULL")
     )
-    columns["timestamp_text"] = F.when(good, F.col("msg.timestamp"))
-    columns["has_location"] = F.when(good, F.col("msg.location").isNotNull())
-    columns["has_environment"] = F.when(good, F.col("msg.environment").isNotNull())
-    columns["outcome"] = F.when(good, F.lit(VALID)).otherwise(F.lit(DEAD))
-    columns["date"] = F.to_date(F.when(good, F.col("time")).otherwise(stamp))
-    return judged.select(*[columns[name].alias(name) for name in LANDED_SCHEMA.names])
+    return _select(flagged, {name: columns[name] for name in LANDED_SCHEMA.names})
 
 
 def valid_json(landed_valid: DataFrame) -> DataFrame:
     """Landed valid rows back as message JSON in ``value``."""
     column_of = {path: column for column, path, _, _ in RAW_FROM_MESSAGE}
-    present = {"location": F.col("has_location"), "environment": F.col("has_environment")}
-    fields = [F.col("pump_id"), F.col("timestamp_text").alias("timestamp")]
+    present = {"location": "has_location", "environment": "has_environment"}
+    fields = ["'pump_id', pump_id", "'timestamp', timestamp_text"]
     for section, leaves in SECTIONS.items():
-        body = F.struct(*[F.col(column_of[f"{section}.{leaf}"]).alias(leaf) for leaf, _ in leaves])
-        fields.append((F.when(present[section], body) if section in present else body).alias(section))
-    return landed_valid.select(message_json(F.struct(*fields)).alias("value"))
+        body = ", ".join(f"'{leaf}', {column_of[f'{section}.{leaf}']}" for leaf, _ in leaves)
+        body = f"named_struct({body})"
+        if section in present:
+            body = f"CASE WHEN {present[section]} THEN {body} END"
+        fields.append(f"'{section}', {body}")
+    message = f"named_struct({', '.join(fields)})"
+    return landed_valid.selectExpr(f"to_json({message}, map('ignoreNullFields', 'false')) AS value")
 
 
 def dlq_json(dead: DataFrame) -> DataFrame:
@@ -157,7 +161,7 @@ def dlq_from_json(messages: DataFrame) -> DataFrame:
     """Queue messages back as table rows; an unreadable ``failed_at`` becomes now."""
     ddl = "original_payload string, error_reason string, error_type string, pump_id string, failed_at string"
     m = F.from_json(F.col("value"), ddl)
-    stamp = F.coalesce(parse_instant(F.col("m.failed_at")), F.current_timestamp())
+    stamp = F.coalesce(parse_instant("m.failed_at"), F.current_timestamp())
     return messages.select(m.alias("m")).select(
         stamp.alias("error_timestamp"), *[F.col(f"m.{name}") for name in DLQ_COLUMNS[1:]]
     )

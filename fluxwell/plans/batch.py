@@ -13,14 +13,14 @@ from fluxwell.sources.tables import load
 from fluxwell.streaming import sinks
 
 
-def judge(payloads: DataFrame, as_of=None, profile: str = "standard") -> DataFrame:
+def judge(payloads: DataFrame, as_of=None, profile: str = "standard", pinned: bool = True) -> DataFrame:
     """Payloads to ``msg``, ``parse_error``, ``time`` and ``error``."""
-    return validate(ingest.parse(payloads), as_of, profile)
+    return validate(ingest.parse(payloads, pinned=False), as_of, profile, pinned=pinned)
 
 
 def land(payloads: DataFrame, path: str, as_of=None, profile: str = "standard", failed_at=None, mode: str = "append") -> None:
     """Parse and validate once, write valid rows and dead letters in the same pass."""
-    sinks.write_landed(route.outcomes(judge(payloads, as_of, profile), failed_at), path, mode)
+    sinks.write_landed(route.outcomes(judge(payloads, as_of, profile, pinned=False), failed_at), path, mode)
 
 
 def build_aggregates(spark: SparkSession, landed: str, path: str, windows: dict[str, str] = WINDOWS) -> None:

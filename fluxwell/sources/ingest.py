@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fluxwell.functions.pinning import pin
 from fluxwell.schema import ENVELOPE, SECTIONS, message_ddl
 
 _BAD = "_unreadable"
@@ -40,7 +43,7 @@ def read_raw(
     return frame.withColumn("value", F.col("value").cast("string"))
 
 
-def parse(payloads: DataFrame) -> DataFrame:
+def parse(payloads: DataFrame, pinned: bool = True) -> DataFrame:
     """Add ``msg`` (nested message or NULL) and ``parse_error`` (text or NULL).
 
     Nearly every payload already has the declared types, so it is read once by a typed
@@ -49,40 +52,33 @@ def parse(payloads: DataFrame) -> DataFrame:
     A numeric leaf that is absent from a present section stays NULL here and counts as
     zero wherever it is used (``with_defaults``).
 
-    Filter on the result through ``route.split``, which keeps the optimizer from running
-    the parsers again inside the filter.
+    The result is pinned so that a filter on it cannot run the parsers again; pass
+    ``pinned=False`` when no filter follows.
     """
-    value = F.col("value")
-    suspicious = [F.col(f"_typed.{path}").rlike(r"^[{\[]") for path in _TEXT_LEAVES]
-    clean = F.col("_typed").isNotNull() & F.col(f"_typed.{_BAD}").isNull()
-    for probe in suspicious:
-        clean = clean & ~F.coalesce(probe, F.lit(False))
+    looks_nested = " OR ".join(f"coalesce(_typed.{p} RLIKE r'^[{{\\[]', false)" for p in _TEXT_LEAVES)
+    clean = f"_typed IS NOT NULL AND _typed.{_BAD} IS NULL AND NOT ({looks_nested})"
     read = (
-        payloads.withColumn("_typed", F.from_json(value, _TYPED, _JSON_OPTIONS))
-        .withColumn("_clean", clean)
-        .withColumn("_loose", F.when(~F.col("_clean"), F.from_json(value, _LENIENT, _JSON_OPTIONS)))
-    )
-    problem = (
-        F.when(value.isNull() | value.rlike(r"^\s*$"), F.lit("empty payload"))
-        .when(value.rlike(r"^\s*null(\s|$)"), F.lit("null"))
-        .when(F.col("_loose").isNull() | F.col(f"_loose.{_BAD}").isNotNull(), F.lit("malformed document"))
-        .otherwise(_wrong_type(F.col("_loose")))
-    )
-    either = F.when(F.col("_clean"), _message(F.col("_typed"), lambda x, kind: x)).otherwise(
-        _message(F.col("_loose"), _loose_leaf)
+        payloads.withColumn("_typed", F.from_json("value", _TYPED, _JSON_OPTIONS))
+        .withColumn("_clean", F.expr(clean))
+        .withColumn("_loose", F.when(~F.col("_clean"), F.from_json("value", _LENIENT, _JSON_OPTIONS)))
     )
+    problem = f"""CASE WHEN _clean THEN NULL
+      WHEN value IS NULL OR value RLIKE r'^\\s*$' THEN 'empty payload'
+      WHEN value RLIKE r'^\\s*null(\\s|$)' THEN 'null'
+      WHEN _loose IS NULL OR _loose.{_BAD} IS NOT NULL THEN 'malformed document'
+      ELSE {_wrong_type()} END"""
+    either = f"CASE WHEN _clean THEN {_message('_typed', _as_is)} ELSE {_message('_loose', _loose_leaf)} END"
     keep = [c for c in payloads.columns if c not in ("msg", "parse_error")]
-    read = read.select(
-        *keep, either.alias("_msg"), F.when(~F.col("_clean"), problem).alias("parse_error")
-    )
-    return read.select(
+    read = read.select(*keep, F.expr(either).alias("_msg"), F.expr(problem).alias("parse_error"))
+    out = read.select(
         *keep, F.when(F.col("parse_error").isNull(), F.col("_msg")).alias("msg"), "parse_error"
     )
+    return pin(out, "msg", "parse_error") if pinned else out
 
 
-def with_defaults(msg: Column) -> Column:
-    """The message with absent numeric leaves of present sections filled with zero."""
-    return _message(msg, lambda x, kind: x if kind == "string" else F.coalesce(x, F.lit(0).cast(kind)))
+def with_defaults(msg: str = "msg") -> str:
+    """SQL of the message with absent numeric leaves of present sections set to zero."""
+    return _message(msg, lambda x, kind: x if kind == "string" else f"coalesce({x}, {kind}(0))")
 
 
 def _leaves() -> list[tuple[str, str]]:
@@ -92,56 +88,45 @@ def _leaves() -> list[tuple[str, str]]:
     return out
 
 
-def _message(root: Column, leaf) -> Column:
-    fields = [leaf(root[name], "string").alias(name) for name in ENVELOPE]
+def _message(root: str, leaf: Callable[[str, str], str]) -> str:
+    """SQL that rebuilds the nested message from ``root`` with ``leaf`` put on every leaf."""
+    fields = [f"'{name}', {leaf(f'{root}.{name}', 'string')}" for name in ENVELOPE]
     for section, leaves in SECTIONS.items():
-        part = root[section]
-        body = F.struct(*[leaf(part[name], kind).alias(name) for name, kind in leaves])
-        fields.append(F.when(part.isNotNull(), body).alias(section))
-    return F.struct(*fields)
-
+        part = f"{root}.{section}"
+        body = ", ".join(f"'{name}', {leaf(f'{part}.{name}', kind)}" for name, kind in leaves)
+        fields.append(f"'{section}', CASE WHEN {part} IS NOT NULL THEN named_struct({body}) END")
+    return f"named_struct({', '.join(fields)})"
 
-def _text(x: Column) -> Column:
-    return F.try_variant_get(x, "$", "string")
 
-
-def _number(text: Column) -> Column:
-    """Value of a number or of text holding one; empty text and the word null read as zero."""
-    return F.when(F.trim(text).isin("", "null"), F.lit(0.0)).otherwise(F.trim(text).try_cast("double"))
+def _as_is(x: str, kind: str) -> str:
+    return x
 
 
-def _loose_leaf(x: Column, kind: str) -> Column:
-    return _text(x) if kind == "string" else _number(_text(x)).try_cast(kind)
+def _text(x: str) -> str:
+    return f"try_variant_get({x}, '$', 'string')"
 
 
-def _wrong_type(loose: Column) -> Column:
-    """Text naming the first leaf whose value cannot be read as its declared type."""
-    leaves = F.array(
-        *[
-            F.struct(
-                F.lit(path).alias("path"),
-                F.lit(kind).alias("kind"),
-                F.schema_of_variant(_dig(loose, path)).alias("found"),
-                _text(_dig(loose, path)).alias("text"),
-            )
-            for path, kind in _leaves()
-        ]
-    )
+def _number(text: str) -> str:
+    """Value of a number or of text holding one; empty text and the word null read as zero."""
+    return f"CASE WHEN trim({text}) IN ('', 'null') THEN 0D ELSE try_cast(trim({text}) AS double) END"
 
-    def wrong(leaf: Column) -> Column:
-        number = _number(leaf["text"])
-        whole = leaf["found"].eqNullSafe("STRING") & ~F.trim(leaf["text"]).rlike(r"^(null|[+-]?\d+)?$")
-        return (
-            F.when(leaf["text"].isNull(), F.lit(False))
-            .when(leaf["kind"] == "string", leaf["found"].rlike("^(OBJECT|ARRAY)"))
-            .when(leaf["kind"] == "int", number.try_cast("int").isNull() | whole)
-            .otherwise(number.isNull())
-        )
 
-    return F.transform(F.filter(leaves, wrong), lambda leaf: F.concat(F.lit("wrong type for "), leaf["path"]))[0]
+def _loose_leaf(x: str, kind: str) -> str:
+    return _text(x) if kind == "string" else f"try_cast({_number(_text(x))} AS {kind})"
 
 
-def _dig(root: Column, path: str) -> Column:
-    for name in path.split("."):
-        root = root[name]
-    return root
+def _wrong_type() -> str:
+    """SQL naming the first leaf whose value cannot be read as its declared type."""
+    leaves = ", ".join(
+        f"named_struct('path', '{path}', 'kind', '{kind}', "
+        f"'found', schema_of_variant(_loose.{path}), 'text', {_text(f'_loose.{path}')})"
+        for path, kind in _leaves()
+    )
+    number = _number("leaf.text")
+    return f"""get(transform(filter(array({leaves}), leaf -> CASE
+        WHEN leaf.text IS NULL THEN false
+        WHEN leaf.kind = 'string' THEN leaf.found RLIKE '^(OBJECT|ARRAY)'
+        WHEN leaf.kind = 'int' THEN try_cast({number} AS int) IS NULL
+          OR (leaf.found = 'STRING' AND NOT trim(leaf.text) RLIKE r'^(null|[+-]?[0-9]+)?$')
+        ELSE {number} IS NULL END),
+      leaf -> concat('wrong type for ', leaf.path)), 0)"""

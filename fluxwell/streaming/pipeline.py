@@ -16,10 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fluxwell.operators import metrics, route
 from fluxwell.operators.aggregate import window_metrics
-from fluxwell.operators.validate import validate
+from fluxwell.plans.batch import judge
 from fluxwell.schema import DEAD, VALID, WATERMARK_DELAY, WINDOW_METRICS, WINDOWS
-from fluxwell.sources import ingest
-from fluxwell.sources.tables import read_landed
+from fluxwell.sources.tables import dlq_of, raw_of, read_landed
 from fluxwell.streaming import sinks
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -41,7 +40,7 @@ def start_land(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Parse, validate and append every payload to the landed table, counting on the way."""
-    judged = metrics.observe(validate(ingest.parse(payloads), as_of, profile))
+    judged = metrics.observe(judge(payloads, as_of, profile, pinned=False))
     return (
         route.outcomes(judged, failed_at)
         .writeStream.queryName("land")
@@ -89,8 +88,6 @@ def start_jdbc(
     **options: str,
 ) -> StreamingQuery:
     """Append landed rows of one outcome to a relational table."""
-    from fluxwell.sources.tables import dlq_of, raw_of
-
     rows = read_landed(spark, landed, streaming=True)
     table = "raw_telemetry" if outcome == VALID else "dlq_records"
     picked = (raw_of(rows) if outcome == VALID else dlq_of(rows)).drop("date")
