@@ -93,27 +93,28 @@ _LEAVES = {
     "environment.humidity_percent": "k % 100",
 }
 _PRESENT = {"location": "e % 11 <> 5", "pump": "e % 160 <> 40", "environment": "e % 7 <> 3"}
-_CUT = "CASE WHEN parse_ok THEN _json ELSE left(_json, length(_json) - 1) END AS value"
+# A document that should not parse loses its last brace.
+_CUT = "left({json}, length({json}) - 1)"
 
 
 def messages(source: DataFrame, since=None) -> DataFrame:
-    """Already parsed form, as ``ingest.parse`` would return it."""
-    return (
-        telemetry(source, since)
-        .withColumn("_json", F.expr(message_json()))
-        .selectExpr(
-            "event_time",
-            _CUT,
-            "CASE WHEN parse_ok THEN msg END AS msg",
-            "CASE WHEN NOT parse_ok THEN 'malformed document' END AS parse_error",
-        )
+    """Already parsed form, as ``ingest.parse`` would return it.
+
+    ``value`` is filled for unreadable rows, the only ones whose payload is kept as received.
+    """
+    return telemetry(source, since).selectExpr(
+        "event_time",
+        f"CASE WHEN NOT parse_ok THEN {_CUT.format(json=message_json())} END AS value",
+        "CASE WHEN parse_ok THEN msg END AS msg",
+        "CASE WHEN NOT parse_ok THEN 'malformed document' END AS parse_error",
     )
 
 
 def payloads(source: DataFrame, since=None) -> DataFrame:
     """Raw JSON form: one document per row in ``value``."""
     frame = telemetry(source, since).withColumn("_json", F.expr(message_json()))
-    return pin(frame.selectExpr("event_time", _CUT), "value")
+    value = f"CASE WHEN parse_ok THEN _json ELSE {_CUT.format(json='_json')} END AS value"
+    return pin(frame.selectExpr("event_time", value), "value")
 
 
 SCRAPE_SECONDS = 15

@@ -57,7 +57,8 @@ def window_metrics_all(
     """All window sizes from one scan (batch): coarser windows are built from the finest.
 
     Sizes must be listed finest first and each must be a multiple of the first. Sums are
-    carried unrounded, so the result equals aggregating the rows for every size.
+    carried unrounded, so the result equals aggregating the rows for every size. All sizes
+    read the same shuffled partial sums.
     """
     sizes = list(windows)
     finest = valid.groupBy("pump_id", F.window("time", windows[sizes[0]])["start"].alias("t")).agg(
@@ -79,10 +80,20 @@ def window_metrics_all(
     )
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _micros(length: str) -> int:
+    """Microseconds of a length such as ``5 minutes``."""
+    count, unit = length.split()
+    return int(count) * _UNIT_SECONDS[unit.rstrip("s")] * 1_000_000
+
+
 def _coarsen(finest: DataFrame, size: str, length: str, metrics: dict[str, str], regroup: bool) -> DataFrame:
     frame = finest
     if regroup:
-        frame = finest.groupBy("pump_id", F.window("t", length)["start"].alias("t")).agg(
+        start = F.expr(f"timestamp_micros(unix_micros(t) - pmod(unix_micros(t), {_micros(length)}))")
+        frame = finest.groupBy("pump_id", start.alias("t")).agg(
             *[
                 part
                 for name in metrics

@@ -81,7 +81,9 @@ def error_code_analysis(raw: DataFrame, samples: int = 5) -> DataFrame:
 
     Readings are first reduced to one row per code, status and pump. The smallest ids then
     come from a limited ranking, which keeps ``samples`` rows per group and task before its
-    shuffle; a list of all pumps of a group is never built.
+    shuffle; a list of all pumps of a group is never built. The ranking also orders by the
+    aggregates, which changes nothing (a pump occurs once per group) but keeps both uses of
+    the reduced rows alike, so the table is scanned and shuffled once.
     """
     abnormal = raw.where((F.col("error_code") != 0) | (F.col("status") != "OPERATIONAL"))
     group = ["error_code", "status"]
@@ -91,7 +93,7 @@ def error_code_analysis(raw: DataFrame, samples: int = 5) -> DataFrame:
     totals = per_pump.groupBy(*group).agg(
         F.sum("n").alias("occurrences"), F.max("last_seen").alias("last_seen")
     )
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy("pump_id"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("pump_id", "n", "last_seen"))
     first = (
         per_pump.select(*group, "pump_id", rank.alias("r"))
         .where(F.col("r") <= samples)

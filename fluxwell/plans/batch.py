@@ -18,13 +18,11 @@ def judge(payloads: DataFrame, as_of=None, profile: str = "standard", pinned: bo
     return validate(ingest.parse(payloads, pinned=False), as_of, profile, pinned=pinned)
 
 
-def land(payloads: DataFrame, path: str, as_of=None, profile: str = "standard", failed_at=None, mode: str = "append") -> None:
+def land(payloads: DataFrame, path: str, as_of=None, profile: str = "standard", failed_at=None, mode: str = "append", rebalance: bool = True) -> None:
     """Parse and validate once, write valid rows and dead letters in the same pass."""
-    sinks.write_landed(route.outcomes(judge(payloads, as_of, profile, pinned=False), failed_at), path, mode)
+    sinks.write_landed(route.outcomes(judge(payloads, as_of, profile, pinned=False), failed_at), path, mode, rebalance)
 
 
 def build_aggregates(spark: SparkSession, landed: str, path: str, windows: dict[str, str] = WINDOWS) -> None:
-    """All window sizes of ``aggregated_metrics`` from a landed table."""
-    metrics = window_metrics_all(load(spark, landed).raw, windows=windows)
-    for size in windows:
-        sinks.write_aggregates(metrics, path, size)
+    """All window sizes of ``aggregated_metrics`` from one scan of a landed table."""
+    sinks.write_all_aggregates(window_metrics_all(load(spark, landed).raw, windows=windows), path)

@@ -9,6 +9,10 @@ from pyspark.sql import SparkSession
 # Runtime settings that results depend on: bucket edges are UTC instants.
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
+# The JVM does not optimize methods above 8000 bytes of bytecode. Below this limit Spark
+# fuses operators into one method; above it, it splits the expressions, which runs faster.
+CODEGEN = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
 # Worth setting on a cluster; none of them changes a result.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
@@ -20,8 +24,8 @@ RECOMMENDED = {
 
 
 def require(spark: SparkSession) -> SparkSession:
-    """Pin the settings in REQUIRED on a session somebody else built."""
-    for key, value in REQUIRED.items():
+    """Pin what results and generated code rely on, on a session somebody else built."""
+    for key, value in {**REQUIRED, **CODEGEN}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -35,12 +39,11 @@ def local_session(cores: int | str = 8, app: str = "fluxwell", **conf: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    spark = builder.getOrCreate()
+    spark = require(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

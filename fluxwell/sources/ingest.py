@@ -55,7 +55,9 @@ def parse(payloads: DataFrame, pinned: bool = True) -> DataFrame:
     The result is pinned so that a filter on it cannot run the parsers again; pass
     ``pinned=False`` when no filter follows.
     """
-    looks_nested = " OR ".join(f"coalesce(_typed.{p} RLIKE r'^[{{\\[]', false)" for p in _TEXT_LEAVES)
+    looks_nested = " OR ".join(
+        f"coalesce(startswith(_typed.{p}, '{mark}'), false)" for p in _TEXT_LEAVES for mark in "{["
+    )
     clean = f"_typed IS NOT NULL AND _typed.{_BAD} IS NULL AND NOT ({looks_nested})"
     read = (
         payloads.withColumn("_typed", F.from_json("value", _TYPED, _JSON_OPTIONS))

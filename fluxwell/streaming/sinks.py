@@ -44,36 +44,37 @@ def lookup_order(table: str) -> list[Column]:
     }[table]
 
 
-def cluster_for_lookup(frame: DataFrame, table: str, *partitions: str) -> DataFrame:
+def cluster_for_lookup(frame: DataFrame, table: str, *partitions: str, rebalance: bool = True) -> DataFrame:
     """Bring rows of a partition together and sort them for lookups.
 
     ``rebalance`` lets adaptive execution split a day that is far larger than the others
-    and join small ones, so file sizes stay even under skew.
+    and join small ones, so file sizes stay even under skew. It costs a shuffle: turn it
+    off when each input split already holds few days.
     """
-    if partitions:
+    if partitions and rebalance:
         frame = frame.hint("rebalance", *partitions)
     return frame.sortWithinPartitions(*partitions, *lookup_order(table))
 
 
-def _write(frame: DataFrame, table: str, path: str, time: str, columns: list[str], mode: str) -> None:
+def _write(frame: DataFrame, table: str, path: str, time: str, columns: list[str], mode: str, rebalance: bool) -> None:
     dated = frame.select(*columns).withColumn("date", F.to_date(time))
-    cluster_for_lookup(dated, table, "date").write.mode(mode).partitionBy("date").parquet(path)
+    cluster_for_lookup(dated, table, "date", rebalance=rebalance).write.mode(mode).partitionBy("date").parquet(path)
 
 
-def write_raw(valid: DataFrame, path: str, mode: str = "append") -> None:
+def write_raw(valid: DataFrame, path: str, mode: str = "append", rebalance: bool = True) -> None:
     """Batch write of flattened valid rows, one folder per day."""
-    _write(valid, "raw_telemetry", path, "time", RAW_COLUMNS, mode)
+    _write(valid, "raw_telemetry", path, "time", RAW_COLUMNS, mode, rebalance)
 
 
-def write_dlq(dead: DataFrame, path: str, mode: str = "append") -> None:
+def write_dlq(dead: DataFrame, path: str, mode: str = "append", rebalance: bool = True) -> None:
     """Batch write of dead letters, one folder per day."""
-    _write(dead, "dlq_records", path, "error_timestamp", DLQ_COLUMNS, mode)
+    _write(dead, "dlq_records", path, "error_timestamp", DLQ_COLUMNS, mode, rebalance)
 
 
-def write_landed(landed: DataFrame, path: str, mode: str = "append") -> None:
+def write_landed(landed: DataFrame, path: str, mode: str = "append", rebalance: bool = True) -> None:
     """Batch write of ``route.outcomes``: both tables from one pass over the input."""
     parts = ("outcome", "date")
-    cluster_for_lookup(landed, "landed", *parts).write.mode(mode).partitionBy(*parts).parquet(path)
+    cluster_for_lookup(landed, "landed", *parts, rebalance=rebalance).write.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def write_json(messages: DataFrame, path: str, mode: str = "append") -> None:
@@ -97,13 +98,26 @@ def jdbc_batch(url: str, table: str, **extra: str) -> Callable[[DataFrame, int],
     return lambda batch, batch_id: write_jdbc(batch, url, table, **extra)
 
 
-def upsert_by_key(batch: DataFrame, path: str, keys: list[str], time: str) -> None:
+def upsert_by_key(
+    batch: DataFrame,
+    path: str,
+    keys: list[str],
+    time: str,
+    unique: bool = False,
+    partitions: tuple[str, ...] = ("date",),
+    order: list[Column] | None = None,
+) -> None:
     """Append the rows of a batch whose key is not in the table yet.
 
     Writing a batch twice, or restarting without its checkpoint, adds nothing. Only keys
-    in the days and time span of the batch are read back; the span is a single row.
+    in the days and time span of the batch are read back; the span is a single row. Pass
+    ``unique`` when the batch cannot hold a key twice, which saves a shuffle.
+
+    The batch is kept while it is read more than once, because a stateful batch must not
+    run twice; blocks lost with an executor are computed again from their source.
     """
-    fresh = batch.dropDuplicates(keys).withColumn("date", F.to_date(time)).persist()
+    fresh = batch if unique else batch.dropDuplicates(keys)
+    fresh = fresh.withColumn("date", F.to_date(time)).persist()
     try:
         low, high, first_day, last_day = fresh.agg(
             F.min(time), F.max(time), F.min("date"), F.max("date")
@@ -123,8 +137,8 @@ def upsert_by_key(batch: DataFrame, path: str, keys: list[str], time: str) -> No
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             new = fresh
-        ordered = [c for c in ("pump_id", time) if c in new.columns]
-        new.sortWithinPartitions("date", *ordered).write.mode("append").partitionBy("date").parquet(path)
+        inside = order or [F.col(k) for k in keys if k not in partitions]
+        new.sortWithinPartitions(*partitions, *inside).write.mode("append").partitionBy(*partitions).parquet(path)
     finally:
         fresh.unpersist()
 
@@ -134,8 +148,16 @@ def aggregate_path(path: str, size: str) -> str:
     return f"{path}/window_size={size}"
 
 
+def write_all_aggregates(windows: DataFrame, path: str) -> None:
+    """Write every window size of ``aggregated_metrics`` in one job, once per key."""
+    parts = ("window_size", "date")
+    rows, order = windows.select(*AGGREGATE_COLUMNS), lookup_order("aggregated_metrics")
+    upsert_by_key(rows, path, AGGREGATE_KEY, "window_start", unique=True, partitions=parts, order=order)
+
+
 def write_aggregates(batch: DataFrame, path: str, size: str) -> None:
     """Write one window size of ``aggregated_metrics``, once per key."""
     rows = batch.where(F.col("window_size") == size).select(*AGGREGATE_COLUMNS).drop("window_size")
     keys = [k for k in AGGREGATE_KEY if k != "window_size"]
-    upsert_by_key(rows, aggregate_path(path, size), keys, "window_start")
+    order = [F.col("pump_id"), F.desc("window_start")]
+    upsert_by_key(rows, aggregate_path(path, size), keys, "window_start", unique=True, order=order)
