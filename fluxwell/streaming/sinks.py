@@ -30,7 +30,6 @@ SINK_POLICY = {
     "aggregated_metrics": Policy(rows=50, seconds=15),
     "dlq_records": Policy(rows=20, seconds=5),
 }
-CHECKPOINT_SECONDS = 60
 
 
 
