@@ -18,8 +18,8 @@ import numpy as np
 
 #: Words kept by a task; beyond that it forgets all of them and starts anew, which bounds its memory.
 KEPT_WORDS = 500_000
-#: Two white-space characters in a row: such texts aren't cut into words.
-RUN = re.compile(r"\s\s")
+#: White space that a word may only start with as a line break.
+SPACE = re.compile(r"\s")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -42,40 +42,40 @@ class Encoder:
         names = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
         self.token_bytes = np.array([len(x) for x in names], dtype=np.int64)
         self.line_break = len(self._whole("\n"))
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, bytes | None] = {}
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _keep(self, words: list[str]) -> None:
-        """Encode new words as one text: a word stands after a space, or starts with its line break."""
-        if "" in words:  # a space that ends a text
-            self.kept[""] = self._whole(" ")
-            words.remove("")
+    def _keep(self, new: set[str]) -> None:
+        """Encode new words as one text: a word stands after a space, or starts with its line break.
+
+        Empty words and those with other white space come from white space that isn't single; they are
+        kept without ids, and texts that hold them are encoded as they are.
+        """
+        words = [x for x in new if len(x) > (x[:1] == "\n") and not SPACE.search(x, x[0] == "\n")]
+        if len(words) < len(new):
+            self.kept.update(dict.fromkeys(new))
         raw = self._whole("".join([x if x[0] == "\n" else " " + x for x in words]))
         bytes_to = np.cumsum(self.token_bytes[np.frombuffer(raw, dtype="<u4")])
         sizes = np.array([len(x.encode()) + (x[0] != "\n") for x in words], dtype=np.int64)
         ends = (4 * (np.searchsorted(bytes_to, np.cumsum(sizes)) + 1)).tolist()
         self.kept.update(zip(words, (raw[i:j] for i, j in zip([0, *ends], ends)), strict=False))
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, with a null as an empty text."""
-        found: list[bytes | None] = []
-        cut: list[list[str]] = []
-        for text in texts:
-            if not text:
-                found.append(b"")
-            elif text[0].isspace() or RUN.search(text):
-                found.append(self._whole(text))
-            else:  # the line break before the first word is taken off again
-                found.append(None)
-                cut.append(("\n" + text.replace("\n", " \n")).split(" "))
+        # the line break before the first word is taken off again
+        cut = [("\n" + x.replace("\n", " \n")).split(" ") if x else [] for x in texts]
         new = set().union(*cut).difference(self.kept)
         if new:
-            self._keep(sorted(new))
-        get, rest = self.kept.__getitem__, iter(cut)
-        out = [b"".join(map(get, next(rest)))[self.line_break :] if x is None else x for x in found]
+            self._keep(new)
+        get, out = self.kept.__getitem__, []
+        for text, words in zip(texts, cut, strict=True):
+            try:
+                out.append(b"".join(map(get, words))[self.line_break :])
+            except TypeError:
+                out.append(self._whole(text))
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
         return out
