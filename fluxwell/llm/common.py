@@ -61,6 +61,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def bin_of(value: Column, edges: list[float]) -> Column:
+    """How many of the ``edges`` a value lies above."""
+    return F.size(F.filter(F.array(*map(F.lit, edges)), lambda edge: value > edge)) if edges else F.lit(0)
+
+
 def linked_within(adjacent: np.ndarray) -> np.ndarray:
     """For each index of a boolean, symmetric matrix the smallest index that it reaches."""
     m = len(adjacent)

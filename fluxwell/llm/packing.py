@@ -138,21 +138,42 @@ def match_ranks(docs: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, i
     return found
 
 
-def opening(lengths: dict[int, int], largest_gap: int, capacity: int) -> tuple[int, float]:
-    """Which documents open a sequence: those longer than a length, and a share of those of just that length.
+def opening(lengths: dict[int, int], gaps: dict[int, int], capacity: int) -> dict[int, float]:
+    """The share of the documents of each length that open a sequence, from counts by length and by gap.
 
-    Only documents that fit no gap count. As many open one as their tokens need sequences, longest first,
-    and in any case those of over half a sequence, of which no two share one.
+    Best fit over the counts, longest documents first: equal documents go into equal gaps at once, and those
+    that find no gap open sequences. It only tells how many; the sweeps decide which document goes where.
     """
-    homeless = {n: c for n, c in lengths.items() if n > largest_gap}
-    if not homeless:
-        return capacity, 0.0
-    wanted = max(ceil(sum(n * c for n, c in homeless.items()) / capacity), sum(c for n, c in homeless.items() if 2 * n > capacity))
-    for n in sorted(homeless, reverse=True):
-        if wanted <= homeless[n]:
-            return n, wanted / homeless[n]
-        wanted -= homeless[n]
-    return 0, 0.0
+    free, order = dict(gaps), sorted(gaps)
+    shares = {}
+
+    def room(gap: int, count: int) -> None:
+        if gap > 0:
+            if gap not in free:
+                insort(order, gap)
+            free[gap] = free.get(gap, 0) + count
+
+    for n in sorted(lengths, reverse=True):
+        left, opened = lengths[n], 0
+        while left:
+            at = bisect_left(order, n)
+            if at == len(order):
+                # as many as the rest needs, then those are filled
+                opening_now = -(-left // max(1, capacity // n))
+                opened += opening_now
+                left -= opening_now
+                room(capacity - n, opening_now)
+                continue
+            gap = order[at]
+            some = min(left, free[gap])
+            left -= some
+            free[gap] -= some
+            if not free[gap]:
+                del free[gap], order[at]
+            room(gap - n, some)
+        if opened:
+            shares[n] = opened / lengths[n]
+    return shares
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -169,16 +190,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     while True:
         state = docs.select(F.lit(1).alias("kind"), "size").union(gaps.select(F.lit(0), "size"))
         counts = {(r["kind"], r["size"]): r["n"] for r in state.groupBy("kind", "size").agg(F.count("*").alias("n")).collect()}
-        lengths = {n: c for (kind, n), c in counts.items() if kind}
+        lengths, room = ({n: c for (kind, n), c in counts.items() if kind == k} for k in (1, 0))
         if not lengths:
             break
-        cut_at, share = opening(lengths, max((g for kind, g in counts if not kind), default=0), capacity)
-        lot = F.pmod(F.xxhash64("id", F.lit("open")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-        opens = (F.col("size") > cut_at) | ((F.col("size") == cut_at) & (lot < share))
-        if share:
-            placed.append(docs.where(opens).select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("offset")))
-            gaps = gaps.union(docs.where(opens & (F.col("size") < capacity)).select("id", (F.lit(capacity) - F.col("size")).alias("size")))
-            docs = docs.where(~opens)
+        shares = opening(lengths, room, capacity)
+        if shares:
+            lot = F.pmod(F.xxhash64("id", F.lit("open")), F.lit(1_000_003)) / F.lit(1_000_003.0)
+            share = F.element_at(F.create_map(*(F.lit(x) for n, x in shares.items() for x in (int(n), float(x)))), F.col("size").cast("int"))
+            marked = docs.withColumn("opens", F.coalesce(lot < share, F.lit(False)))
+            opened = marked.where("opens").select("id", "size")
+            placed.append(opened.select("id", F.col("id").alias("bin"), F.lit(0).cast("long").alias("offset")))
+            gaps = gaps.union(opened.select("id", (F.lit(capacity) - F.col("size")).alias("size")))
+            docs = marked.where("NOT opens").select("id", "size")
         items = docs.select(F.lit(1).alias("kind"), "id", "size").union(gaps.select(F.lit(0), "id", "size"))
         parts = max(1, ceil(sum(counts.values()) / SWEEP_ROWS))
         swept = settle(_sweep_ranges(items, parts, capacity), "swept")

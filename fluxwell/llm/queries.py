@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fluxwell.llm import embeddings, packing, simhash, tokencount, tokenfiles
+from fluxwell.llm import embeddings, packing, pii, rules, simhash, tokencount, tokenfiles
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +34,19 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(tokenfiles.write(table(spark, sf_dir, "documents")))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base, every = pii.joined(F.col("base")), pii.joined(F.col("spans"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_duplicates, op2_token_counts, op4_embedding_near_duplicates, op6_best_fit_packing, op7_token_files)}
+    return {f.__name__: f for f in (op1_simhash_near_duplicates, op2_token_counts, op4_embedding_near_duplicates, op6_best_fit_packing, op7_token_files, op9_quality_rules, op10_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
