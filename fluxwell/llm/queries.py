@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxwell.llm import embeddings, packing, pii, rules, simhash, tokencount, tokenfiles
+from fluxwell.llm import chat, embeddings, mixing, packing, pii, rules, simhash, tokencount, tokenfiles, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +22,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+#: Weights of the domains that documents are mixed to.
+TARGETS = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table of the domain classifier: languages of the documents that ``labels`` covers."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), TARGETS)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -34,6 +52,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(tokenfiles.write(table(spark, sf_dir, "documents")))
 
 
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
@@ -45,9 +67,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
 
 
+QUERIES = (
+    op1_simhash_near_duplicates,
+    op2_token_counts,
+    op3_toxicity,
+    op4_embedding_near_duplicates,
+    op5_soft_mixing,
+    op6_best_fit_packing,
+    op7_token_files,
+    op8_chat_formatting,
+    op9_quality_rules,
+    op10_pii,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_near_duplicates, op2_token_counts, op4_embedding_near_duplicates, op6_best_fit_packing, op7_token_files, op9_quality_rules, op10_pii)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
+    """None: SQL expresses neither learned models, nor tokenizers, nor walks over links of these."""
     return {}

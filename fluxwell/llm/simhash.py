@@ -186,11 +186,10 @@ def near_duplicates(docs: DataFrame, bits: int = 2, words: int = 3) -> DataFrame
 def deduplicate(docs: DataFrame, bits: int = 2, words: int = 3) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of its near-duplicate group, with all their columns.
 
-    Of rows that repeat such a ``doc_id`` one stays, any of them; rows with a null ``doc_id`` stay where no
-    row of their group has one.
+    Of rows that repeat such a ``doc_id`` one stays, any of them. Rows with a null ``doc_id`` all stay, as nothing
+    names them.
     """
     groups = near_duplicates(docs, bits, words)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    named = docs.join(kept.where("doc_id IS NOT NULL"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    lonely = kept.where("doc_id IS NULL").select(F.lit(1).alias("any"))
-    return named.unionByName(docs.where("doc_id IS NULL").join(lonely, F.lit(True), "left_semi"))
+    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
