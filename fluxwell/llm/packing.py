@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import count
 from math import ceil
 
 import numpy as np
@@ -64,9 +65,11 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(pieces, PIECES_WITH_IDS if with_ids else PIECES)
 
 
-def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int) -> tuple[list, list, list]:
+def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int, opens: bool = False) -> tuple[list, list, list]:
     """Best fit over one range, sorted from large to small with gaps (0) before documents (1) of their size.
 
+    A document without a gap is left over, or opens a sequence where ``opens`` says so.
+
     Returns placements (document, sequence, offset), gaps left (sequence, size) from small to large, and
     documents left (document, size) from large to small.
     """
@@ -76,14 +79,17 @@ def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int) ->
     for size, kind, item in zip(sizes, kinds, ids, strict=True):
         if kind == 1:
             at = bisect_left(order, size)
-            if at == len(order):
+            if at < len(order):
+                gap = order[at]
+                bins = free[gap]
+                target = bins.pop()
+                if not bins:
+                    del free[gap], order[at]
+            elif opens:
+                gap, target = capacity, item
+            else:
                 left.append((item, size))
                 continue
-            gap = order[at]
-            bins = free[gap]
-            target = bins.pop()
-            if not bins:
-                del free[gap], order[at]
             placed.append((item, target, capacity - gap))
             size, item = gap - size, target
         if size:
@@ -96,7 +102,7 @@ def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int) ->
 
 
 def _sweep_ranges(items: DataFrame, parts: int, capacity: int) -> DataFrame:
-    """Sort documents and gaps into ranges and sweep each range on its own."""
+    """Sort documents and gaps into ranges and sweep each range on its own; the only range left opens sequences."""
 
     def swept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames), ignore_index=True)
@@ -104,7 +110,7 @@ def _sweep_ranges(items: DataFrame, parts: int, capacity: int) -> DataFrame:
             return
         part = TaskContext.get().partitionId()
         sizes = rows["size"].tolist()
-        placed, gaps, left = sweep(sizes, rows["kind"].tolist(), rows["id"].tolist(), capacity)
+        placed, gaps, left = sweep(sizes, rows["kind"].tolist(), rows["id"].tolist(), capacity, parts == 1)
         # a gap that has shrunk below this range may be too small for documents of the next ones
         ready = iter(range(len(gaps)))
         out = [(part, -1, "placed", d, 0, at, b) for d, b, at in placed]
@@ -113,7 +119,8 @@ def _sweep_ranges(items: DataFrame, parts: int, capacity: int) -> DataFrame:
         yield pd.DataFrame(out, columns=["part", "rank", "kind", "id", "size", "offset", "bin"])
 
     order = [F.desc("size"), F.col("kind"), F.xxhash64("id")]
-    return items.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(swept, SWEPT)
+    ranges = items.coalesce(1) if parts == 1 else items.repartitionByRange(parts, *order)
+    return ranges.sortWithinPartitions(*order).mapInPandas(swept, SWEPT)
 
 
 def match_ranks(docs: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int, int]]:
@@ -187,15 +194,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed: list[DataFrame] = [pieces.where(F.col("length") >= capacity).select(F.col("piece_id").alias("id"), F.col("piece_id").alias("bin"), F.lit(0).cast("long").alias("offset"))]
     docs = pieces.where(F.col("length") < capacity).select(F.col("piece_id").alias("id"), F.col("length").alias("size"))
     gaps = spark.createDataFrame([], "id long, size long")
-    while True:
+    for turn in count():
         state = docs.select(F.lit(1).alias("kind"), "size").union(gaps.select(F.lit(0), "size"))
         counts = {(r["kind"], r["size"]): r["n"] for r in state.groupBy("kind", "size").agg(F.count("*").alias("n")).collect()}
         lengths, room = ({n: c for (kind, n), c in counts.items() if kind == k} for k in (1, 0))
         if not lengths:
             break
-        shares = opening(lengths, room, capacity)
+        # gaps that hold no document any more leave the table
+        room = {g: n for g, n in room.items() if g >= min(lengths)}
+        gaps = gaps.where(F.col("size") >= min(lengths))
+        parts = max(1, ceil((sum(lengths.values()) + sum(room.values())) / SWEEP_ROWS))
+        shares = opening(lengths, room, capacity) if parts > 1 else {}
         if shares:
-            lot = F.pmod(F.xxhash64("id", F.lit("open")), F.lit(1_000_003)) / F.lit(1_000_003.0)
+            lot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1_000_003)) / F.lit(1_000_003.0)
             share = F.element_at(F.create_map(*(F.lit(x) for n, x in shares.items() for x in (int(n), float(x)))), F.col("size").cast("int"))
             marked = docs.withColumn("opens", F.coalesce(lot < share, F.lit(False)))
             opened = marked.where("opens").select("id", "size")
@@ -203,7 +214,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             gaps = gaps.union(opened.select("id", (F.lit(capacity) - F.col("size")).alias("size")))
             docs = marked.where("NOT opens").select("id", "size")
         items = docs.select(F.lit(1).alias("kind"), "id", "size").union(gaps.select(F.lit(0), "id", "size"))
-        parts = max(1, ceil(sum(counts.values()) / SWEEP_ROWS))
         swept = settle(_sweep_ranges(items, parts, capacity), "swept")
         placed.append(swept.where("kind = 'placed'").select("id", "bin", "offset"))
         left = {(r["kind"], r["part"]): r["n"] for r in swept.where("kind <> 'placed' AND rank >= 0").groupBy("kind", "part").agg(F.count("*").alias("n")).collect()}
