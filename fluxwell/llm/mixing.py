@@ -39,9 +39,10 @@ class Classifier:
 
     def posteriors(self, text: Column) -> Column:
         """An array of one probability per domain."""
-        lower = F.lower(F.coalesce(text, F.lit("")))
-        size = F.length(lower)
-        counts = F.array(*((size - F.length(F.replace(lower, F.lit(m), F.lit("")))).cast("double") for m in self.markers), size.cast("double"))
+
+        def counts(lower: Column) -> Column:
+            size = F.length(lower)
+            return F.array(*((size - F.length(F.replace(lower, F.lit(m), F.lit("")))).cast("double") for m in self.markers), size.cast("double"))
 
         def scores(c: Column) -> Column:
             n = len(self.markers)
@@ -60,7 +61,7 @@ class Classifier:
             shifted = F.transform(s, lambda x: F.exp(x - F.array_max(s)))
             return let(shifted, lambda e: let(F.aggregate(e, F.lit(0.0), lambda a, b: a + b), lambda t: F.transform(e, lambda x: x / t)))
 
-        return let(let(counts, scores), softmax)
+        return let(let(let(F.lower(F.coalesce(text, F.lit(""))), counts), scores), softmax)
 
 
 def classify(docs: DataFrame, labelled: DataFrame, domains: list[str]) -> Classifier:
@@ -168,5 +169,6 @@ def drawn(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], total
     names = docs.columns
     held = docs.select(F.struct(*names).alias("row"), classifier.posteriors(F.col("text")).alias("p"), F.col("doc_id").alias("draw_id"), F.xxhash64("text").alias("lot_key"))
     times = copies(rate(F.col("p"), steps), "draw_id", "lot_key")
-    often = held.select("row", times.alias("times")).where("times > 0")
+    # a generator keeps posteriors from being computed for the filter and again for the draws
+    often = held.select("row", F.inline(F.array(F.struct(times.alias("times"))))).where("times > 0")
     return often.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("draw")).select("row.*")
