@@ -49,6 +49,15 @@ def _rounded(metrics: dict[str, str]) -> list[Column]:
     ]
 
 
+UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def seconds(interval: str) -> int:
+    """Length of a window such as ``5 minutes``."""
+    number, unit = interval.split()
+    return int(number) * UNITS[unit.lower().rstrip("s")]
+
+
 def window_metrics_all(
     valid: DataFrame,
     metrics: dict[str, str] = WINDOW_METRICS,
@@ -61,6 +70,9 @@ def window_metrics_all(
     read the same shuffled partial sums.
     """
     sizes = list(windows)
+    for size in sizes[1:]:
+        if seconds(windows[size]) % seconds(windows[sizes[0]]):
+            raise ValueError(f"{windows[size]} is no multiple of {windows[sizes[0]]}")
     finest = valid.groupBy("pump_id", F.window("time", windows[sizes[0]])["start"].alias("t")).agg(
         *[
             part

@@ -73,10 +73,10 @@ def to_series(frame: DataFrame, time: str, key: str, value: str, keys: list[str]
 
 
 def reduce(frame: DataFrame, value: str, calc: str = "lastNotNull", time: str = "time") -> DataFrame:
-    """A series to one value: its last non-null value by time, or its sum."""
+    """A series to one value: its last non-null value by time (of equal times the largest value), or its sum."""
     if calc == "lastNotNull":
         present = frame.where(F.col(value).isNotNull())
-        return present.agg(F.max_by(value, time).alias(value))
+        return present.agg(F.max_by(F.col(value), F.struct(time, value)).alias(value))
     if calc == "sum":
         return frame.agg(F.sum(value).alias(value))
     raise ValueError(f"unknown reduction {calc!r}")

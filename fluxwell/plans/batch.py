@@ -19,7 +19,14 @@ def judge(payloads: DataFrame, as_of=None, profile: str = "standard", pinned: bo
 
 
 def land(payloads: DataFrame, path: str, as_of=None, profile: str = "standard", failed_at=None, mode: str = "append", rebalance: bool = True) -> None:
-    """Parse and validate once, write valid rows and dead letters in the same pass."""
+    """Parse and validate once, write valid rows and dead letters in the same pass.
+
+    A folder that a stream writes is refused: readers follow the stream's log there and would miss these rows.
+    """
+    spark = payloads.sparkSession
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_spark_metadata")
+    if log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        raise ValueError(f"a stream writes {path}; land batches in another folder")
     sinks.write_landed(route.outcomes(judge(payloads, as_of, profile, pinned=False), failed_at), path, mode, rebalance)
 
 

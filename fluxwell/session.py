@@ -49,9 +49,12 @@ def local_session(cores: int | str = 8, app: str = "fluxwell", **conf: str) -> S
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach: under spark.checkpoint.dir when it is set."""
+    """A fresh folder every executor can reach: under spark.checkpoint.dir, which a cluster has to set."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix="fluxwell-")
     stamp = spark.sql("SELECT uuid() AS u").first()["u"]
     return f"{root.rstrip('/')}/fluxwell-{stamp}"

@@ -107,6 +107,7 @@ def start_aggregates(
     size: str = "1m",
     delay: str = WATERMARK_DELAY,
     trigger: dict | None = None,
+    windows: dict[str, str] = WINDOWS,
 ) -> StreamingQuery:
     """Write each window once, when the watermark passes its end.
 
@@ -114,9 +115,9 @@ def start_aggregates(
     ``numRowsDroppedByWatermark`` in the query progress.
     """
     needed = valid.select("time", "pump_id", *WINDOW_METRICS.values())
-    windows = window_metrics(with_event_time(needed, delay), size)
+    closed = window_metrics(with_event_time(needed, delay), size, windows=windows)
     return (
-        windows.writeStream.queryName(f"agg-{size}")
+        closed.writeStream.queryName(f"agg-{size}")
         .outputMode("append")
         .foreachBatch(lambda batch, batch_id: sinks.write_aggregates(batch, path, size))
         .option("checkpointLocation", f"{checkpoint}/agg-{size}")
@@ -161,7 +162,7 @@ def start_pipeline(
         add(f"{outcome}-json", start_json(spark, landed, outcome, checkpoint, path=out, trigger=trigger))
     for size in windows:
         stream = landed_valid(spark, landed)
-        add(f"agg-{size}", start_aggregates(stream, aggregates, checkpoint, size, trigger=trigger))
+        add(f"agg-{size}", start_aggregates(stream, aggregates, checkpoint, size, trigger=trigger, windows=windows))
     return running
 
 

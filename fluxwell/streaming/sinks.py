@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fluxwell.schema import AGGREGATE_COLUMNS, AGGREGATE_KEY, DLQ_COLUMNS, RAW_COLUMNS
+from fluxwell.session import shared_folder
 
 
 @dataclass(frozen=True)
@@ -147,11 +148,35 @@ def aggregate_path(path: str, size: str) -> str:
     return f"{path}/window_size={size}"
 
 
+def replace_by_key(rows: DataFrame, path: str, keys: list[str], time: str, partitions: tuple[str, ...], order: list[Column]) -> None:
+    """Write rows of distinct keys; stored rows of the same keys give way, all others stay.
+
+    For batch builds, whose windows may have grown since they were written. Only the partitions that ``rows``
+    touch are rewritten, from a snapshot in the shared folder, as a table can't be read while it is overwritten.
+    """
+    spark = rows.sparkSession
+    fresh = rows.withColumn("date", F.to_date(time))
+    snapshot = shared_folder(spark)
+    try:
+        stored = spark.read.schema(fresh.schema).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        everything = fresh
+    else:
+        fresh.write.parquet(f"{snapshot}/fresh")
+        fresh = spark.read.schema(fresh.schema).parquet(f"{snapshot}/fresh")
+        touched = fresh.select(*partitions).distinct()
+        everything = fresh.unionByName(stored.join(touched, list(partitions), "left_semi").join(fresh.select(*keys), keys, "left_anti"))
+    everything.write.parquet(f"{snapshot}/all")
+    table = spark.read.schema(fresh.schema).parquet(f"{snapshot}/all").sortWithinPartitions(*partitions, *order)
+    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
 def write_all_aggregates(windows: DataFrame, path: str) -> None:
-    """Write every window size of ``aggregated_metrics`` in one job, once per key."""
-    parts = ("window_size", "date")
+    """Write every window size of ``aggregated_metrics`` in one job; windows written before are replaced."""
     rows, order = windows.select(*AGGREGATE_COLUMNS), lookup_order("aggregated_metrics")
-    upsert_by_key(rows, path, AGGREGATE_KEY, "window_start", unique=True, partitions=parts, order=order)
+    replace_by_key(rows, path, AGGREGATE_KEY, "window_start", ("window_size", "date"), order)
 
 
 def write_aggregates(batch: DataFrame, path: str, size: str) -> None:
