@@ -1,7 +1,7 @@
 """Chat formatting with tool calls: link, order, validate, serialise.
 
-Calls and results meet in a hash join by identifier. Calls are ordered by what they need: each round settles
-the calls whose needs are settled. Arguments are held against schemas through their VARIANT form, and every
+Calls and results meet in a hash join by identifier. Calls are ordered by what they need: chains of
+needs are followed by doubling, and calls with several needs wait for all of them. Arguments are held against schemas through their VARIANT form, and every
 message becomes one canonical JSON object: keys in alphabetical order, no blanks, no nulls.
 """
 
@@ -33,27 +33,55 @@ def fault(arguments: Column, tool: Column, schemas: Schemas) -> Column:
     return found
 
 
+def chains(single: DataFrame) -> DataFrame:
+    """Where chains of single needs end: ``conv_id``, ``call_id``, ``up``, ``far``.
+
+    ``single`` has calls with exactly one need, ``up``. In the result ``up`` is the first call on the way that isn't
+    in ``single``, ``far`` needs away. Calls on a cycle of single needs, or after one, are left out. Each round doubles
+    how far a call sees, so a chain takes a logarithm of its length in rounds.
+    """
+    inner = single.select("conv_id", F.col("call_id").alias("up"), F.lit(True).alias("more"))
+    start = single.join(inner, ["conv_id", "up"], "left")
+    ways = settle(start.select("conv_id", "call_id", "up", F.lit(1).alias("far"), F.coalesce("more", F.lit(False)).alias("open")), "ways")
+    before, left = -1, ways.where("open").count()
+    # a round in which no call arrives leaves cycles only
+    while left and left != before:
+        on = ways.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("far").alias("further"), F.col("open").alias("more"))
+        step = ways.join(on, ["conv_id", "up"], "left")
+        far = F.col("far") + F.coalesce("further", F.lit(0))
+        ways = settle(step.select("conv_id", "call_id", F.coalesce("next", "up").alias("up"), far.alias("far"), F.coalesce("more", F.lit(False)).alias("open")), "ways")
+        before, left = left, ways.where("open").count()
+    return ways.where("NOT open").drop("open")
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``conv_id``, ``call_id`` and ``level`` (length of the longest chain of needs) of calls (``needs``: array of ids).
 
-    Needs that no call of the conversation has are ignored; calls in a cycle, or after one, get no level.
+    Needs that no call of the conversation has are ignored; calls in a cycle, or after one, get no level. Chains of
+    calls with one need each are followed by doubling; calls with several needs take a round per level of such calls.
     """
-    nodes = calls.select("conv_id", "call_id").distinct()
-    edges = calls.select("conv_id", "call_id", F.explode("needs").alias("need")).distinct()
-    edges = edges.join(nodes.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_semi")
-    edges = settle(edges, "needs")
-    ready = settle(nodes.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "level")
-    done = [ready]
+    key = ["conv_id", "call_id"]
+    nodes = calls.select(*key).distinct()
+    needs = calls.select(*key, F.explode("needs").alias("need")).distinct()
+    needs = settle(needs.join(nodes.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_semi"), "needs")
+    counted = settle(needs.groupBy(*key).agg(F.count("*").alias("n"), F.min("need").alias("up")), "counted")
+    ways = chains(counted.where("n = 1").drop("n"))
+    ready = settle(nodes.join(counted, key, "left_anti").withColumn("level", F.lit(0)), "level")
+    via = ways.select("conv_id", F.col("call_id").alias("need"), "up", "far")
+    several = needs.join(counted.where("n > 1").select(*key), key, "left_semi").join(via, ["conv_id", "need"], "left")
+    edges = several.groupBy(*key, F.coalesce("up", "need").alias("up")).agg(F.max(F.coalesce("far", F.lit(0)) + 1).alias("far"))
+    edges = settle(edges.withColumn("reached", F.lit(None).cast("int")), "edges")
+    known = ready
     while not edges.isEmpty() and not ready.isEmpty():
-        met = edges.join(ready.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_semi")
-        edges = settle(edges.join(ready.select("conv_id", F.col("call_id").alias("need")), ["conv_id", "need"], "left_anti"), "needs")
-        free = met.select("conv_id", "call_id").distinct().join(edges, ["conv_id", "call_id"], "left_anti")
-        ready = settle(free.withColumn("level", F.lit(len(done))), "level")
-        done.append(ready)
-    every = done[0]
-    for more in done[1:]:
-        every = every.union(more)
-    return every
+        level = ready.select("conv_id", F.col("call_id").alias("up"), "level")
+        met = edges.join(level, ["conv_id", "up"], "left")
+        met = settle(met.select(*key, "up", "far", F.coalesce("reached", F.col("level") + F.col("far")).alias("reached")), "edges")
+        free = met.groupBy(*key).agg(F.max("reached").alias("level"), F.count("reached").alias("m"), F.count("*").alias("n"))
+        ready = settle(free.where("m = n").select(*key, "level"), "level")
+        edges = settle(met.join(ready, key, "left_anti"), "edges")
+        known = known.union(ready)
+    ends = known.select("conv_id", F.col("call_id").alias("up"), F.col("level").alias("base"))
+    return known.union(ways.join(ends, ["conv_id", "up"]).select(*key, (F.col("base") + F.col("far")).alias("level")))
 
 
 def format_chat(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -75,10 +103,10 @@ def format_chat(messages: DataFrame, calls: DataFrame, results: DataFrame, schem
     linked = read.join(order, ["conv_id", "call_id"], "left").join(one, ["conv_id", "call_id"], "left")
     wrong = fault(value, F.col("tool"), schemas)
     status = F.coalesce(wrong, F.when(F.col("level").isNull(), "cyclic"), F.when(F.col("n").isNull(), "no result"), F.lit("ok"))
-    linked = linked.withColumn("status", status)
     # VARIANT keeps the keys of an object in order
-    arguments = F.coalesce(F.to_json(value), F.col("arguments"))
-    call_json = F.to_json(F.struct(arguments.alias("arguments"), F.col("call_id").alias("id"), F.col("tool").alias("name"), F.lit("call").alias("role")))
+    linked = linked.select("conv_id", "turn", "level", "call_id", "tool", F.coalesce(F.to_json(value), F.col("arguments")).alias("arguments"), "content", "n", status.alias("status"))
+    linked = settle(linked, "linked")
+    call_json = F.to_json(F.struct(F.col("arguments"), F.col("call_id").alias("id"), F.col("tool").alias("name"), F.lit("call").alias("role")))
     result_json = F.to_json(F.struct(F.col("content"), F.col("call_id").alias("id"), F.lit("tool").alias("role")))
     text_json = F.to_json(F.struct(F.col("text").alias("content"), F.col("role")))
     none = F.lit(None)

@@ -284,3 +284,27 @@ def test_chat(spark):
     assert (by[1, "a"]["level"], by[1, "b"]["level"], by[1, "c"]["level"]) == (0, 1, None)
     assert {k: r["status"] for (_, k), r in by.items()} == {"a": "query is no string", "b": "ok", "c": "arguments are no JSON", "d": "arguments are no object", "e": "unknown tool", "f": "limit is missing", "z": "no call"}
     assert sum(r["kind"] == 0 for r in found) == 3 and by[2, "z"]["turn"] is None
+
+
+def test_levels_of_calls_equal_brute_force(spark):
+    r = random.Random(5)
+    needs = {f"c{i:03d}": [f"c{i - 1:03d}"] for i in range(1, 70)} | {"c000": []}
+    needs |= {f"d{i:02d}": [f"d{j:02d}" for j in r.sample(range(i), min(i, r.randrange(4)))] + ["absent"] for i in range(30)}
+    needs |= {"d30": ["c069", "d29", "c010"], "d31": ["d30"], "d32": ["d31", "c069"]}
+    needs |= {"x1": ["x2"], "x2": ["x3"], "x3": ["x1"], "x4": ["x1"], "x5": ["x4", "c001"], "x6": ["x5"], "x7": ["x7"]}
+    rows = [(k, call, own) for k in (1, 2) for call, own in needs.items()] + [(3, "c001", ["c000"])]
+    calls = spark.createDataFrame(rows + rows[:3], "conv_id long, call_id string, needs array<string>")
+
+    expected = {(3, "c001"): 0}
+    for k in (1, 2):
+        todo = dict(needs)
+        while True:
+            free = {c for c, own in todo.items() if not any(x in todo for x in own)}
+            if not free:
+                break
+            for c in free:
+                expected[k, c] = max((1 + expected[k, x] for x in needs[c] if x in needs), default=0)
+                del todo[c]
+    found = [((x["conv_id"], x["call_id"]), x["level"]) for x in chat.levels(calls).collect()]
+    assert len(found) == len(expected)
+    assert dict(found) == expected
