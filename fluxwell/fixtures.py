@@ -69,9 +69,9 @@ _TIME_US = f"{_BASE} + (unix_micros(CAST(ts AS TIMESTAMP)) - {_BASE}) div {_COMP
 _TIMESTAMP = """CASE e % 160 WHEN 100 THEN '2024-01-02T00:10:00.000000Z' WHEN 120 THEN 'not-a-date'
   ELSE date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END"""
 _LEAVES = {
-    "location.latitude": "CASE u % 3 WHEN 0 THEN -1.286389D WHEN 1 THEN -0.091702D ELSE -4.04374D END",
-    "location.longitude": "CASE u % 3 WHEN 0 THEN 36.817223D WHEN 1 THEN 34.768017D ELSE 39.668207D END",
-    "location.region": "CASE u % 3 WHEN 0 THEN 'Nairobi' WHEN 1 THEN 'Kisumu' ELSE 'Mombasa' END",
+    "location.latitude": "CASE u % 3 WHEN 0 THEN 51.25D WHEN 1 THEN 47.5D ELSE 44.75D END",
+    "location.longitude": "CASE u % 3 WHEN 0 THEN 6.5D WHEN 1 THEN 8.25D ELSE 11.0D END",
+    "location.region": "CASE u % 3 WHEN 0 THEN 'Polder' WHEN 1 THEN 'Foothill' ELSE 'Lagoon' END",
     "solar_panel.irradiance_w_m2": "k * 11.0D",
     "solar_panel.voltage_v": "48.0D",
     "solar_panel.current_a": "v / 12.5D",
@@ -86,7 +86,7 @@ _LEAVES = {
     "pump.water_temperature_c": "18 + k % 10",
     "system.operating_hours": "1000 + e % 4000",
     "system.vibration_mm_s": "(e % 40) / 8.0D",
-    "system.error_code": "CASE WHEN et = 'error' THEN 9010 + 10 * (e % 3) ELSE 0 END",
+    "system.error_code": "CASE WHEN et = 'error' THEN 301 + 7 * (e % 3) ELSE 0 END",
     "system.status": """CASE WHEN e % 160 = 80 THEN '  ' WHEN et <> 'error' THEN 'OPERATIONAL'
       WHEN e % 3 = 0 THEN 'FAULTED' WHEN e % 3 = 1 THEN 'ALERT' ELSE 'DEGRADED' END""",
     "environment.ambient_temperature_c": "25 + k % 10",

@@ -351,7 +351,7 @@ def b_value_map(spark, sf_dir):
     )
 
 
-REGIONS = ["Kisumu", "Mombasa", "Nairobi", "UNKNOWN"]
+REGIONS = ["Foothill", "Lagoon", "Polder", "UNKNOWN"]
 
 
 def b_pivot(spark, sf_dir):

@@ -25,9 +25,9 @@ m AS (
     CASE WHEN e % 160 = 60 THEN NULL ELSE concat('PUMP_', lpad(CAST(u AS VARCHAR), 3, '0')) END AS pump_id,
     CASE WHEN e % 160 = 100 THEN '2024-01-02T00:10:00.000000Z' WHEN e % 160 = 120 THEN 'not-a-date'
          ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') END AS ts_text,
-    CAST(CASE u % 3 WHEN 0 THEN -1.286389 WHEN 1 THEN -0.091702 ELSE -4.04374 END AS DOUBLE) AS latitude,
-    CAST(CASE u % 3 WHEN 0 THEN 36.817223 WHEN 1 THEN 34.768017 ELSE 39.668207 END AS DOUBLE) AS longitude,
-    CASE u % 3 WHEN 0 THEN 'Nairobi' WHEN 1 THEN 'Kisumu' ELSE 'Mombasa' END AS region,
+    CAST(CASE u % 3 WHEN 0 THEN 51.25 WHEN 1 THEN 47.5 ELSE 44.75 END AS DOUBLE) AS latitude,
+    CAST(CASE u % 3 WHEN 0 THEN 6.5 WHEN 1 THEN 8.25 ELSE 11.0 END AS DOUBLE) AS longitude,
+    CASE u % 3 WHEN 0 THEN 'Polder' WHEN 1 THEN 'Foothill' ELSE 'Lagoon' END AS region,
     k * CAST(11.0 AS DOUBLE) AS irradiance_w_m2, CAST(48.0 AS DOUBLE) AS solar_voltage_v,
     v / CAST(12.5 AS DOUBLE) AS solar_current_a, v * CAST(8.0 AS DOUBLE) AS solar_power_w,
     CAST(20 + k % 40 AS DOUBLE) AS solar_temperature_c,
@@ -37,7 +37,7 @@ m AS (
     CAST(k % 5 AS DOUBLE) AS discharge_pressure_bar, CAST(0.25 AS DOUBLE) AS suction_pressure_bar,
     CAST(18 + k % 10 AS DOUBLE) AS water_temperature_c,
     CAST(1000 + e % 4000 AS DOUBLE) AS operating_hours, CAST(e % 40 AS DOUBLE) / CAST(8.0 AS DOUBLE) AS vibration_mm_s,
-    CAST(CASE WHEN et = 'error' THEN 9010 + 10 * (e % 3) ELSE 0 END AS INT) AS error_code,
+    CAST(CASE WHEN et = 'error' THEN 301 + 7 * (e % 3) ELSE 0 END AS INT) AS error_code,
     CASE WHEN e % 160 = 80 THEN '  ' WHEN et <> 'error' THEN 'OPERATIONAL'
          WHEN e % 3 = 0 THEN 'FAULTED' WHEN e % 3 = 1 THEN 'ALERT' ELSE 'DEGRADED' END AS status,
     CAST(25 + k % 10 AS DOUBLE) AS ambient_temperature_c, CAST(k % 100 AS DOUBLE) AS humidity_percent,
@@ -244,10 +244,10 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY pump_id ORDER BY total_liters DESC, pump_id LIMIT 10"""
         ),
         "q2_offline": _select(
-            f""", reference AS (SELECT coalesce(greatest(max(time), {AS_OF}), {AS_OF}) AS ref FROM raw_telemetry),
-            seen AS (SELECT pump_id, max(time) AS last_seen FROM raw_telemetry GROUP BY pump_id)
-            SELECT pump_id, last_seen, epoch_us(ref - last_seen) / CAST(1000000 AS DOUBLE) AS inactivity_seconds
-            FROM seen, reference WHERE ref - last_seen > INTERVAL '5 minutes'"""
+            f"""SELECT pump_id, last_seen, us / CAST(1000000 AS DOUBLE) AS inactivity_seconds FROM (
+              SELECT pump_id, max(time) AS last_seen,
+                greatest(epoch_us(max(max(time)) OVER ()), epoch_us({AS_OF})) - epoch_us(max(time)) AS us
+              FROM raw_telemetry GROUP BY pump_id) WHERE us > 300 * 1000000"""
         ),
         "q3_hourly_solar": _select(
             f"""SELECT date_trunc('hour', time) AS hour_bucket, pump_id,
@@ -255,10 +255,13 @@ def oracle_sql() -> dict[str, str]:
             FROM raw_telemetry WHERE time >= {AS_OF} - INTERVAL '48 hours' GROUP BY 1, 2"""
         ),
         "q4_error_codes": _select(
-            """SELECT error_code, status, count(*) AS occurrences,
-            array_to_string((array_agg(DISTINCT pump_id ORDER BY pump_id))[1:5], ',') AS sample_pumps,
-            max(time) AS last_seen FROM raw_telemetry
-            WHERE error_code <> 0 OR status <> 'OPERATIONAL' GROUP BY error_code, status"""
+            """SELECT error_code, status, CAST(sum(n) AS BIGINT) AS occurrences,
+              string_agg(pump_id, ',' ORDER BY pump_id) FILTER (WHERE place <= 5) AS sample_pumps, max(seen) AS last_seen
+            FROM (SELECT error_code, status, pump_id, count(*) AS n, max(time) AS seen,
+                row_number() OVER (PARTITION BY error_code, status ORDER BY pump_id) AS place
+              FROM raw_telemetry WHERE NOT (error_code = 0 AND status = 'OPERATIONAL')
+              GROUP BY error_code, status, pump_id)
+            GROUP BY error_code, status"""
         ),
         "q5_latest_dlq": _select(
             """SELECT error_timestamp, pump_id, error_type, error_reason FROM dlq_records
@@ -365,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT time_bucket(INTERVAL '1 minute', time) AS time, "
             + ", ".join(
                 f"round(sum(flow_rate_lpm) FILTER (WHERE region = '{r}'), 6) AS {r.lower()}"
-                for r in ("Kisumu", "Mombasa", "Nairobi", "UNKNOWN")
+                for r in ("Foothill", "Lagoon", "Polder", "UNKNOWN")
             )
             + " FROM raw_telemetry GROUP BY 1"
         ),
