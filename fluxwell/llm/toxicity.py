@@ -25,6 +25,8 @@ EPOCHS = 6
 STEP = 0.5
 #: Labelled documents that the model is fitted on, at most: of either label.
 SAMPLE = {1: 2000, 0: 4000}
+#: N-grams that training keeps in memory, four bytes each.
+KEPT_GRAMS = 60_000_000
 THRESHOLD = 0.3
 HELD_OUT = 2
 
@@ -71,6 +73,13 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
     return np.concatenate(out), np.concatenate(where), count
 
 
+def by_window(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a text's n-grams, window after window, and where each window ends (the first entry is 0)."""
+    ids, window, count = grams(text)
+    order = np.argsort(window, kind="stable")
+    return ids[order].astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(window, minlength=count))])
+
+
 class Model:
     """What scoring needs: how much each n-gram speaks for the toxic class, and the bias."""
 
@@ -93,7 +102,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def train(texts: list[str | None], labels: list[int]) -> Model:
     """Fit by adaptive gradient steps over documents in a fixed random order; one class alone gives a flat score.
 
-    Bags are built anew in each epoch, so that memory holds the texts and the embeddings only.
+    The first ``KEPT_GRAMS`` n-grams stay in memory over the epochs; those of further documents are built anew
+    in each, so that memory is bounded and the model is the same either way.
     """
     random = np.random.default_rng(7)
     rate = (sum(labels) + 1) / (len(labels) + 2)
@@ -104,18 +114,26 @@ def train(texts: list[str | None], labels: list[int]) -> Model:
     seen_softmax, seen_bias = np.full_like(softmax, 1e-6), np.full_like(bias, 1e-6)
     if len(set(labels)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), float(bias[1]))
+    kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    room = KEPT_GRAMS
     for _ in range(EPOCHS):
         for k in random.permutation(len(labels)):
-            ids, window, count = grams(texts[k])
+            ids, ends = kept.get(k) or by_window(texts[k])
+            if k not in kept and len(ids) <= room:
+                kept[k] = ids, ends
+                room -= len(ids)
             if not len(ids):
                 continue
-            toxic_way = vectors[ids] @ (softmax[:, 1] - softmax[:, 0])
-            sizes = np.maximum(LEAST_GRAMS, np.bincount(window, minlength=count))
-            means = np.bincount(window, weights=toxic_way, minlength=count) / sizes
-            worst = int(means.argmax())
-            own, times = np.unique(ids[window == worst], return_counts=True)
+            toxic_way = vectors.take(ids, axis=0) @ (softmax[:, 1] - softmax[:, 0])
+            starts = ends[:-1]
+            # a window without n-grams has nothing to sum
+            filled = np.flatnonzero(ends[1:] > starts)
+            means = np.zeros(len(starts))
+            means[filled] = np.add.reduceat(toxic_way, starts[filled])
+            worst = int((means / np.maximum(LEAST_GRAMS, np.diff(ends))).argmax())
+            own, times = np.unique(ids[ends[worst] : ends[worst + 1]], return_counts=True)
             share = (times / max(LEAST_GRAMS, times.sum())).astype(np.float32)
-            mean = share @ vectors[own]
+            mean = share @ vectors.take(own, axis=0)
             logits = mean @ softmax + bias
             p = np.exp(logits - logits.max())
             p /= p.sum()
