@@ -257,6 +257,17 @@ def test_toxicity(spark, docs, none):
     assert toxicity.toxicity(docs, labels_of(spark)).count() == docs.count() and toxicity.toxicity(none, marked).count() == 0
 
 
+def test_toxicity_training_is_the_same_without_kept_grams(monkeypatch):
+    random.seed(8)
+    texts = [" ".join(random.choice(("river", "stone", "paper", *["grubbish"] * (i % 2))) for _ in range(random.choice((1, 40, 120)))) for i in range(60)]
+    texts, marks = [None, "", " \n", "a", *texts], [0, 1, 1, 0, *(i % 2 for i in range(60))]
+    kept = toxicity.train(texts, marks)
+    for room in (0, 5000):
+        monkeypatch.setattr(toxicity, "KEPT_GRAMS", room)
+        anew = toxicity.train(texts, marks)
+        assert anew.bias == kept.bias and np.array_equal(anew.weights, kept.weights)
+
+
 def test_mixing(spark, docs, none):
     texts = {"en": "the thing with that other", "fr": "les élèves où ça été près"}
     rows = [(i, " ".join([texts["en" if i % 4 else "fr"]] * 20), "en" if i % 4 else "fr", None, 0, None, None) for i in range(400)]
