@@ -24,8 +24,8 @@ _COMPRESSION = 30
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     reader = (spark.readStream if streaming else spark.read).schema(EVENTS_DDL)
-    # A stream takes a folder or a glob, and the table may be either a file or a folder.
-    return reader.parquet(f"{sf_dir}/events.parquet" + ("*" if streaming else ""))
+    # A stream takes a folder or a glob, and the table may be either a file or a folder; this glob has one match.
+    return reader.parquet(f"{sf_dir}/events.parque[t]" if streaming else f"{sf_dir}/events.parquet")
 
 
 def telemetry(source: DataFrame, since=None) -> DataFrame:
