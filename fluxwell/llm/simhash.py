@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fluxwell.llm import shingles
 from fluxwell.llm.common import components, linked_within, settle
 
 SEED = 42
@@ -183,13 +184,17 @@ def near_duplicates(docs: DataFrame, bits: int = 2, words: int = 3) -> DataFrame
     return hashed.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, bits: int = 2, words: int = 3) -> DataFrame:
+def deduplicate(docs: DataFrame, bits: int = 2, words: int = 3, similarity: float | None = None) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is the smallest of its near-duplicate group, with all their columns.
 
-    Of rows that repeat such a ``doc_id`` one stays, any of them. Rows with a null ``doc_id`` all stay, as nothing
-    names them.
+    With a ``similarity``, groups are those of ``shingles.groups``, and ``bits`` is not used. Of rows that repeat such
+    a ``doc_id`` one stays, any of them. Rows with a null ``doc_id`` all stay, as nothing names them.
     """
-    groups = near_duplicates(docs, bits, words)
+    if similarity is None:
+        groups = near_duplicates(docs, bits, words)
+    else:
+        found = settle(shingles.groups(docs, words, similarity), "groups")
+        groups = found.join(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fluxwell.llm import chat, embeddings, mixing, packing, pii, rules, simhash, tokencount, tokenfiles, tokens, toxicity
+from fluxwell.llm import chat, embeddings, mixing, packing, pii, rules, shingles, simhash, tokencount, tokenfiles, tokens, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row string, kind string"
 ODD = [None, "", " ", "a", "a b", "\n\n", "x" * 30_000, "Même  texte\tà\n b", "same old text here " * 30, "same old text here " * 30, "1 " * 3000]
@@ -170,6 +170,38 @@ def test_simhash_odd_rows(spark, docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_near_copies_of_shingles(spark, docs, none):
+    random.seed(6)
+    pool = [f"w{i}" for i in range(400)]
+    texts = [" ".join(random.choice(pool) for _ in range(random.randint(3, 90))) for _ in range(60)]
+    for base in texts[:40]:
+        for edits in (1, 1, 2, 3):
+            own = base.split()
+            for _ in range(edits):
+                own[random.randrange(len(own))] = random.choice(pool)
+            texts.append(" ".join(own))
+    texts += [texts[0].upper(), " ".join(texts[1].split()[:-2]), *ODD]
+    grams = []
+    for text in texts:
+        own = (text or "").lower().encode().split()
+        grams.append({tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else {()})
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
+    rows = spark.createDataFrame([(i, t, None, None, 0, None, None) for i, t in enumerate(texts)], DOCS)
+    by_root = defaultdict(set)
+    for r in shingles.groups(rows).collect():
+        by_root[r["root"]].add(r["doc_id"])
+    expected, roots = defaultdict(set), smallest_reached(len(texts), pairs)
+    for i, root in enumerate(roots):
+        expected[root].add(i)
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, expected.values()))
+    import corpus_pipeline
+
+    kept = corpus_pipeline.simhash_near_dedup(spark, rows, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots)) and kept.columns == rows.columns
+    assert len(set(roots)) < len(texts) - 50
+    assert simhash.deduplicate(none, words=5, similarity=0.8).count() == 0
+
+
 def test_embeddings(spark, monkeypatch):
     monkeypatch.setattr(embeddings, "CELL", 20)
     monkeypatch.setattr(embeddings, "BLOCK", 16)
