@@ -25,11 +25,15 @@ GENERATORS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "local": r"(?<![0-9])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}+",
+    "secret": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+={0,2}+",
 }
 KINDS = ("email", "ip", "card", "phone")
 #: Names that a secret is assigned to.
 NAMED = r"(?i)(?:token|secret|password|passwd|pwd|credential|api_?key|access_?key|auth)[\x20\"']*[=:]+[\x20\"']*$"
+#: A national number that could be dialled, the country code before it, and what makes it a part of a longer number.
+NATIONAL = r"^\(?[2-9][0-9]{2}\)?[\x20.-][2-9][0-9]{2}[\x20.-][0-9]{4}$"
+COUNTRY = r"\+[0-9]{1,3}[\x20(.-]*$"
+LONGER = (r"[0-9][\x20.-]?$", r"^[\x20.-]?[0-9]")
 #: Spans that trees are fitted on, at most.
 SAMPLE = 60_000
 ROUNDS = 10
@@ -51,7 +55,7 @@ def hits(text: Column) -> Column:
                     k.alias("k"),
                     x.alias("match"),
                     F.length(F.get(between, k)).cast("long").alias("gap"),
-                    F.right(F.get(between, k), F.lit(24)).alias("before"),
+                    F.right(F.concat(F.when(k > 0, F.get(found, k - 1)).otherwise(""), F.get(between, k)), F.lit(24)).alias("before"),
                     F.left(F.get(between, k + 1), F.lit(8)).alias("after"),
                 ),
             )
@@ -171,15 +175,27 @@ def _best_split(cells: list, names: list[str], edges: dict) -> tuple | None:
     return best
 
 
+def label() -> Column:
+    """The weak label of a candidate, 0 or 1.
+
+    A national number is one where it could be dialled and is no part of a longer number, and where a country code
+    before it makes it the inside of a valid phone.
+    """
+    before, ended = F.col("before"), ~F.col("after").rlike(LONGER[1])
+    local = F.col("gen") == list(GENERATORS).index("local")
+    alone = F.col("match").rlike(NATIONAL) & ~before.rlike(LONGER[0])
+    national = local & ended & (alone | before.rlike(COUNTRY))
+    return (F.col("base") | national | F.col("before").rlike(NAMED)).cast("int")
+
+
 def fit(candidates: DataFrame, sample: int = SAMPLE) -> tuple[list[Tree], float, float]:
     """Trees, their start and the calibrated threshold, from candidate spans.
 
     A quarter of the sample is kept aside for the threshold. Without candidates of both kinds nothing is added.
     """
     names = list(features())
-    label = (F.col("base") | F.col("before").rlike(NAMED)).cast("int")
     lot = F.xxhash64("match", "before", "row", "start")
-    rows = candidates.orderBy(lot).limit(sample).select(label.alias("y"), lot.alias("lot"), *(x.alias(k) for k, x in features().items()))
+    rows = candidates.orderBy(lot).limit(sample).select(label().alias("y"), lot.alias("lot"), *(x.alias(k) for k, x in features().items()))
     rows = settle(rows, "sampled")
     levels = [(i + 1) / BINS for i in range(BINS - 1)]
     cuts = rows.agg(*(F.percentile_approx(k, levels, 2000).alias(k) for k in names), F.avg("y").alias("mean")).first()

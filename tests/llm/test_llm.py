@@ -275,6 +275,20 @@ def test_personal_data(spark, docs, none):
     assert pii.find(none).count() == 0 and pii.redact(docs).count() == docs.count()
 
 
+def test_personal_data_of_both_forms(spark):
+    key = lambda i: hashlib.md5(str(i).encode()).hexdigest()[:24]
+    texts = [f"ring +1 ({200 + i}) 555-{1000 + i} now" for i in range(80)] + [f"ring ({300 + i}) 555-{2000 + i} now" for i in range(80)]
+    texts += [f"api_key={key(i)} x" for i in range(80)] + [f"password=Z{key(i)}== x" for i in range(80)]
+    texts += [f"at {i} of {1000 + i} and {hashlib.sha1(str(i).encode()).hexdigest()}" for i in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(rows).collect()}
+    assert clean[0] == "ring [PHONE] now" and clean[80] == "ring [LOCAL] now"
+    assert clean[160] == "api_key=[SECRET] x" and clean[240] == "password=[SECRET] x"
+    assert all(clean[i] == texts[i] for i in range(320, len(texts)))
+    labels = dict(pii.spans(rows.where("doc_id in (0, 160)"))[1].where("gen >= 4").select("match", pii.label()).collect())
+    assert labels == {"(200) 555-1000": 1, key(0): 1}
+
+
 def test_toxicity(spark, docs, none):
     random.seed(6)
     words = ["river", "stone", "window", "garden", "letter", "winter", "paper", "market"]
