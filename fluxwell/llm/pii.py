@@ -34,7 +34,8 @@ NAMED = r"(?i)(?:token|secret|password|passwd|pwd|credential|api_?key|access_?ke
 NATIONAL = r"^\(?[2-9][0-9]{2}\)?[\x20.-][2-9][0-9]{2}[\x20.-][0-9]{4}$"
 COUNTRY = r"\+[0-9]{1,3}[\x20(.-]*$"
 LONGER = (r"[0-9][\x20.-]?$", r"^[\x20.-]?[0-9]")
-#: Spans that trees are fitted on, at most.
+#: Spans that trees are fitted on: about this many, and of each generator and label an equal share at most. Spans of
+#: a stratum above its share are drawn by hash and weigh as many as they stand for.
 SAMPLE = 60_000
 ROUNDS = 10
 BINS = 16
@@ -191,25 +192,36 @@ def label() -> Column:
 def fit(candidates: DataFrame, sample: int = SAMPLE) -> tuple[list[Tree], float, float]:
     """Trees, their start and the calibrated threshold, from candidate spans.
 
-    A quarter of the sample is kept aside for the threshold. Without candidates of both kinds nothing is added.
+    Trees learn from a sample of three quarters of the candidates, stratified by generator and label. The threshold
+    comes from counts over all of the other quarter. Without candidates of both kinds nothing is added.
     """
     names = list(features())
     lot = F.xxhash64("match", "before", "row", "start")
-    rows = candidates.orderBy(lot).limit(sample).select(label().alias("y"), lot.alias("lot"), *(x.alias(k) for k, x in features().items()))
-    rows = settle(rows, "sampled")
+    aside = F.pmod(lot, F.lit(4)) == 0
+    every = candidates.select(label().alias("y"), lot.alias("lot"), aside.alias("aside"), *(x.alias(k) for k, x in features().items()))
+    every = settle(every, "labelled")
+    share = sample / (2 * len(GENERATORS))
+    strata = every.where("NOT aside").groupBy("gen", "y").agg(F.count("*").alias("n")).collect()
+    rate = weight = F.lit(None).cast("double")
+    for r in strata:
+        own = (F.col("gen") == r["gen"]) & (F.col("y") == r["y"])
+        rate, weight = F.when(own, min(1.0, share / r["n"])).otherwise(rate), F.when(own, max(1.0, r["n"] / share)).otherwise(weight)
+    drawn = F.pmod(F.xxhash64("lot", F.lit("stratum")), F.lit(1_000_003)) / F.lit(1_000_003.0) < rate
+    rows = settle(every.where("NOT aside").where(drawn).withColumn("weight", weight), "sampled")
     levels = [(i + 1) / BINS for i in range(BINS - 1)]
-    cuts = rows.agg(*(F.percentile_approx(k, levels, 2000).alias(k) for k in names), F.avg("y").alias("mean")).first()
-    mean = cuts["mean"]
+    cuts = rows.agg(*(F.percentile_approx(k, levels, 2000).alias(k) for k in names), F.count("*").alias("n")).first()
+    total = sum(r["n"] for r in strata)
+    mean = sum(r["n"] * r["y"] for r in strata) / total if total and cuts["n"] else None
     if mean is None or not 0 < mean < 1:
         return [], 0.0, 2.0
     edges = {k: sorted(set(cuts[k])) for k in names}
     bins = [bin_of(F.col(k), edges[k]) for k in names]
-    table = settle(rows.withColumn("bins", F.array(*bins)).withColumn("aside", F.pmod("lot", F.lit(4)) == 0), "binned")
+    table = settle(rows.withColumn("bins", F.array(*bins)), "binned")
     trees: list[Tree] = []
     start = _logit(mean)
     for _ in range(ROUNDS):
         p = probability(trees, start)
-        steps = table.where("NOT aside").select("*", (F.col("y") - p).alias("g"), (p * (1 - p)).alias("h"))
+        steps = table.select("*", (F.col("weight") * (F.col("y") - p)).alias("g"), (F.col("weight") * p * (1 - p)).alias("h"))
 
         def cells(side: Column, steps: DataFrame = steps) -> dict[int, list]:
             every = steps.select(side.alias("side"), "g", "h", F.posexplode("bins").alias("f", "bin"))
@@ -230,7 +242,7 @@ def fit(candidates: DataFrame, sample: int = SAMPLE) -> tuple[list[Tree], float,
             values += [RATE * g / (h + 1.0) for g, h in (split[2:] if split else (sums[i], sums[i]))]
         trees.append(Tree((name, threshold), tuple(branches), tuple(values)))
     score = F.floor(probability(trees, start) * 1000).cast("int")
-    counts = table.where("aside").groupBy(score.alias("score")).agg(F.sum("y").alias("p"), F.count("*").alias("n")).collect()
+    counts = every.where("aside").groupBy(score.alias("score")).agg(F.sum("y").alias("p"), F.count("*").alias("n")).collect()
     p = n = 0
     threshold = 2.0
     for r in sorted(counts, key=lambda r: -r["score"]):

@@ -289,6 +289,16 @@ def test_personal_data_of_both_forms(spark):
     assert labels == {"(200) 555-1000": 1, key(0): 1}
 
 
+def test_rare_labels_are_kept_in_a_bounded_sample(spark):
+    key = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    texts = [" x ".join(str(10_000 + 50 * i + k) for k in range(50)) for i in range(200)]
+    texts += [f'token = "{key(i)}" x' for i in range(40)] + [f"hash {key(i)} x" for i in range(100, 140)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    _, candidates = pii.spans(rows)
+    found = pii.select(candidates, pii.fit(candidates, sample=600)).groupBy("kind").count().collect()
+    assert [tuple(r) for r in found] == [("secret", 40)]
+
+
 def test_toxicity(spark, docs, none):
     random.seed(6)
     words = ["river", "stone", "window", "garden", "letter", "winter", "paper", "market"]
