@@ -91,8 +91,7 @@ def flow_stacked(raw: DataFrame, as_of=None, lookback: str = "1 hour", start=Non
         time_range(raw, "time", low, high)
         .groupBy(F.date_trunc("minute", "time").alias("time"), "pump_id")
         .agg(F.sum("flow_rate_lpm").alias("flow_rate"))
-        .withColumn("block", F.left("pump_id", F.lit(block)))
-        .where(F.col("block").isNotNull())  # the join implies it; said here, both sides share one scan
+        .withColumn("block", F.coalesce(F.left("pump_id", F.lit(block)), F.lit("")))  # null ids come first
     )
     inner = Window.partitionBy("time", "block").orderBy("pump_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

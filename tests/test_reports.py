@@ -145,6 +145,12 @@ def test_stacked_by_brute_force(spark):
             assert g["stacked"] == pytest.approx(sum(v for p, v in pumps.items() if p <= g["pump_id"]))
 
 
+def test_stacked_keeps_null_ids(spark):
+    rows = [{"pump_id": p, "flow_rate_lpm": x} for p, x in ((None, 1.0), ("A", 2.0), ("B", 4.0))]
+    got = ops.flow_stacked(make(spark, rows), AS_OF).collect()
+    assert [(r["pump_id"], r["flow_rate"], r["stacked"]) for r in got] == [(None, 1.0, 1.0), ("A", 2.0, 3.0), ("B", 4.0, 7.0)]
+
+
 def test_top_water_and_ties(spark):
     rows = [{"pump_id": f"P{i}", "flow_rate_lpm": 12.0} for i in (3, 1, 2)]
     rows += [{"pump_id": "P9", "time": ago(hours=24)}, {"pump_id": "old", "time": ago(hours=24, seconds=1)}]
