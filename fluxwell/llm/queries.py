@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fluxwell.llm import chat, embeddings, mixing, packing, pii, rules, simhash, tokencount, tokenfiles, toxicity
+from fluxwell.llm import audit, chat, embeddings, mixing, oracle, packing, pii, ranking, rules, simhash, suffixes, tokencount, tokenfiles, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed and remaining bytes of every document, for repeats of 400 bytes."""
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda done, s: done + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    return ranking.search(ranking.index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters does at each step of all 120 orders, for each language."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = (
     op1_simhash_near_duplicates,
     op2_token_counts,
@@ -78,6 +95,9 @@ QUERIES = (
     op8_chat_formatting,
     op9_quality_rules,
     op10_pii,
+    op11_suffix_array_dedup,
+    op12_ranked_lexical_search,
+    op13_filter_interaction_audit,
 )
 
 
@@ -86,5 +106,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """None: SQL expresses neither learned models, nor tokenizers, nor walks over links of these."""
-    return {}
+    """SQL expresses neither learned models, nor tokenizers, nor walks over links; repeats of bytes are too slow in it."""
+    return {"op12_ranked_lexical_search": oracle.RANKED_SEARCH, "op13_filter_interaction_audit": oracle.FILTER_AUDIT}
