@@ -6,7 +6,7 @@ are compressed into one day, and every twentieth event is broken in one of eight
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fluxwell.functions.instants import as_timestamp
@@ -28,6 +28,17 @@ def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFra
     return reader.parquet(f"{sf_dir}/events.parque[t]" if streaming else f"{sf_dir}/events.parquet")
 
 
+#: Slices that the events of a day arrive in: eight hours each, and a last one for what is late.
+SLICES = 4
+_LATE = "CASE WHEN event_id % 16 = 5 THEN 1 ELSE 0 END"
+
+
+def arrival(source: DataFrame, late: bool = True) -> Column:
+    """The slice in which an event arrives; of those meant to be ``late``, each comes one slice after its time."""
+    hour = f"(({_TIME_US}) - {_BASE}) div 28800000000"
+    return F.expr(f"CAST(least({hour} + {_LATE if late else 0}, {SLICES - 1}) AS INT)")
+
+
 def telemetry(source: DataFrame, since=None) -> DataFrame:
     """Events as messages: ``event_time``, ``msg`` and ``parse_ok``.
 

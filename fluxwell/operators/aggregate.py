@@ -4,51 +4,46 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fluxwell.functions.rounding import round3
+from fluxwell.operators import partials
+from fluxwell.operators.partials import Metrics
 from fluxwell.schema import WINDOW_METRICS, WINDOWS
 
 
 def window_metrics(
     valid: DataFrame,
     size: str = "1m",
-    metrics: dict[str, str] = WINDOW_METRICS,
+    metrics: Metrics = WINDOW_METRICS,
     windows: dict[str, str] = WINDOWS,
 ) -> DataFrame:
-    """Average, maximum and minimum of each metric per pump and window, with a row count.
+    """Statistics of each metric per pump and window, with a row count.
 
-    Partial aggregation runs before the shuffle, so a pump holding a large share of the
-    rows sends one row per window and task. On a stream the state of a window is these
-    few numbers, not its rows.
+    A metric is a column, which gets its average, maximum and minimum, or a column with a
+    list of ``partials.STATS``. Partial aggregation runs before the shuffle, so a pump
+    holding a large share of the rows sends one row per window and task. On a stream the
+    state of a window is these few numbers, not its rows.
     """
-    stats = [
-        fn(column).alias(f"_{stat}_{name}")
-        for name, column in metrics.items()
-        for stat, fn in (("avg", F.avg), ("max", F.max), ("min", F.min))
-    ]
     grouped = valid.groupBy("pump_id", F.window("time", windows[size]).alias("w")).agg(
-        *stats, F.count(F.lit(1)).alias("record_count")
+        *partials.make(metrics), F.count(F.lit(1)).alias("record_count")
     )
+    timed = grouped.withColumns({"window_start": F.col("w.start"), "window_end": F.col("w.end")})
+    return finished(timed, size, metrics)
+
+
+def finished(grouped: DataFrame, size: str, metrics: Metrics = WINDOW_METRICS) -> DataFrame:
+    """Windows with their statistics from windows with their partials."""
     return grouped.select(
-        F.col("w.start").alias("window_start"),
-        F.col("w.end").alias("window_end"),
+        "window_start",
+        "window_end",
         F.lit(size).alias("window_size"),
         "pump_id",
-        *_rounded(metrics),
+        *partials.finish(metrics),
         "record_count",
     )
 
 
-def _rounded(metrics: dict[str, str]) -> list[Column]:
-    return [
-        round3(F.col(f"_{stat}_{name}")).alias(f"{stat}_{name}")
-        for name in metrics
-        for stat in ("avg", "max", "min")
-    ]
-
-
 UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -60,31 +55,21 @@ def seconds(interval: str) -> int:
 
 def window_metrics_all(
     valid: DataFrame,
-    metrics: dict[str, str] = WINDOW_METRICS,
+    metrics: Metrics = WINDOW_METRICS,
     windows: dict[str, str] = WINDOWS,
 ) -> DataFrame:
     """All window sizes from one scan (batch): coarser windows are built from the finest.
 
-    Sizes must be listed finest first and each must be a multiple of the first. Sums are
-    carried unrounded, so the result equals aggregating the rows for every size. All sizes
-    read the same shuffled partial sums.
+    Sizes must be listed finest first and each must be a multiple of the first. Partials
+    are carried unrounded, so the result equals aggregating the rows for every size. All
+    sizes read the same shuffled partials.
     """
     sizes = list(windows)
     for size in sizes[1:]:
         if seconds(windows[size]) % seconds(windows[sizes[0]]):
             raise ValueError(f"{windows[size]} is no multiple of {windows[sizes[0]]}")
     finest = valid.groupBy("pump_id", F.window("time", windows[sizes[0]])["start"].alias("t")).agg(
-        *[
-            part
-            for name, column in metrics.items()
-            for part in (
-                F.sum(column).alias(f"_sum_{name}"),
-                F.count(column).alias(f"_n_{name}"),
-                F.max(column).alias(f"_max_{name}"),
-                F.min(column).alias(f"_min_{name}"),
-            )
-        ],
-        F.count(F.lit(1)).alias("record_count"),
+        *partials.make(metrics), F.count(F.lit(1)).alias("record_count")
     )
     return reduce(
         DataFrame.unionByName,
@@ -92,39 +77,13 @@ def window_metrics_all(
     )
 
 
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-
-
-def _micros(length: str) -> int:
-    """Microseconds of a length such as ``5 minutes``."""
-    count, unit = length.split()
-    return int(count) * _UNIT_SECONDS[unit.rstrip("s")] * 1_000_000
-
-
-def _coarsen(finest: DataFrame, size: str, length: str, metrics: dict[str, str], regroup: bool) -> DataFrame:
+def _coarsen(finest: DataFrame, size: str, length: str, metrics: Metrics, regroup: bool) -> DataFrame:
     frame = finest
     if regroup:
-        start = F.expr(f"timestamp_micros(unix_micros(t) - pmod(unix_micros(t), {_micros(length)}))")
+        micros = seconds(length) * 1_000_000
+        start = F.expr(f"timestamp_micros(unix_micros(t) - pmod(unix_micros(t), {micros}))")
         frame = finest.groupBy("pump_id", start.alias("t")).agg(
-            *[
-                part
-                for name in metrics
-                for part in (
-                    F.sum(f"_sum_{name}").alias(f"_sum_{name}"),
-                    F.sum(f"_n_{name}").alias(f"_n_{name}"),
-                    F.max(f"_max_{name}").alias(f"_max_{name}"),
-                    F.min(f"_min_{name}").alias(f"_min_{name}"),
-                )
-            ],
-            F.sum("record_count").alias("record_count"),
+            *partials.merge(metrics), F.sum("record_count").alias("record_count")
         )
-    for name in metrics:
-        frame = frame.withColumn(f"_avg_{name}", F.try_divide(f"_sum_{name}", f"_n_{name}"))
-    return frame.select(
-        F.col("t").alias("window_start"),
-        (F.col("t") + F.expr(f"INTERVAL '{length}'")).alias("window_end"),
-        F.lit(size).alias("window_size"),
-        "pump_id",
-        *_rounded(metrics),
-        "record_count",
-    )
+    end = F.col("t") + F.expr(f"INTERVAL '{length}'")
+    return finished(frame.withColumns({"window_start": F.col("t"), "window_end": end}), size, metrics)

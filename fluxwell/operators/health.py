@@ -61,10 +61,14 @@ def range(samples: DataFrame, metric: str, start=None, end=None, **labels) -> Da
 def _evaluate(picked: DataFrame, range_s: int, step_s: int, start, end, block_s: int) -> DataFrame:
     """Per metric, series and evaluation time: what a counter did within the range.
 
-    A series is cut into blocks of evaluation time; a sample joins its own block and,
-    when a range reaches over the edge, the next one. So a series of any size spreads
-    over many tasks, samples are shuffled about once whatever the step is, and all later
-    stages reuse that one partitioning.
+    A running total per series, which starts over at no reset, gives the growth of any range as a difference of two
+    samples: the last one before the evaluation time, and the first one of the range. A sample knows the evaluation
+    times for which it is the last. For the first one, each such time becomes a mark at the start of its range, and
+    marks and samples are read in order once. So rows grow with samples and evaluation times, and not with how many
+    ranges hold a sample.
+
+    A series is cut into blocks of evaluation time, so that one of any size spreads over many tasks. A sample joins
+    its own block and, when a range reaches over the edge, the next one. All stages share one partitioning.
     """
     span, step = range_s * _SECOND, step_s * _SECOND
     block = max(block_s * _SECOND, span)
@@ -72,37 +76,46 @@ def _evaluate(picked: DataFrame, range_s: int, step_s: int, start, end, block_s:
         low = None if start is None else as_timestamp(start) - interval(f"{range_s} seconds")
         picked = time_range(picked, "ts", low, end, open_start=True)
     us = F.unix_micros("ts")
-    samples = picked.select("metric", _series(), us.alias("us"), "value").select(
-        "*",
-        F.explode(
-            F.sequence(F.floor(F.col("us") / block), F.floor((F.col("us") + span - 1) / block))
-        ).alias("block"),
-    )
+    blocks = F.sequence(F.floor(F.col("us") / block), F.floor((F.col("us") + span - 1) / block))
+    samples = picked.select("metric", _series(), us.alias("us"), "value").select("*", F.explode(blocks).alias("block"))
     samples = samples.repartition("series", "block")
-    order = Window.partitionBy("metric", "series", "block").orderBy("us")
+    key = ["metric", "series", "block"]
+    order = Window.partitionBy(*key).orderBy("us")
+    passed = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before, value = F.lag("value").over(order), F.col("value")
-    first_t = F.ceil(F.greatest("us", F.col("block") * block) / step) * step
-    last_t = F.floor(F.least(F.col("us") + span - 1, (F.col("block") + 1) * block - 1) / step) * step
-    points = (
-        samples.withColumn("before", before)
-        .withColumn("before_us", F.lag("us").over(order))
-        .withColumn("first_t", first_t)
-        .withColumn("last_t", last_t)
-        .where(F.col("last_t") >= F.col("first_t"))
-        .withColumn("gain", F.when(value < F.col("before"), value).otherwise(value - F.col("before")))
-        .withColumn("t", F.explode(F.sequence("first_t", "last_t", F.lit(step).cast("bigint"))))
-    )
+    gain = F.when(before.isNull(), 0.0).when(value < before, value).otherwise(value - before)
+    samples = samples.withColumns({"gain": gain, "number": F.row_number().over(order), "next_us": F.lead("us").over(order)})
+    samples = samples.withColumn("total", F.sum("gain").over(passed))
+    sample = F.struct("us", "value", "number", "total")
+    samples = samples.withColumns({"this": sample, "earliest": F.first(sample).over(passed)})
+    samples = samples.withColumn("next", F.lead("this").over(order))
+    # evaluation times for which this sample is the last of the range
+    last = F.least(F.col("us") + span, (F.col("block") + 1) * block, F.coalesce("next_us", F.lit(1 << 62))) - 1
+    times = [F.ceil(F.greatest("us", F.col("block") * block) / step) * step, F.floor(last / step) * step]
     if start is not None:
-        points = points.where(F.col("t") >= F.unix_micros(as_timestamp(start)))
+        times[0] = F.greatest(times[0], F.ceil(F.unix_micros(as_timestamp(start)) / step) * step)
     if end is not None:
-        points = points.where(F.col("t") <= F.unix_micros(as_timestamp(end)))
-    inside = F.col("before_us") > F.col("t") - span
-    return points.groupBy("metric", "series", "block", "t").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("us").alias("first_us"),
-        F.max("us").alias("last_us"),
-        F.min_by("value", "us").alias("first"),
-        F.sum(F.when(inside, F.col("gain")).otherwise(0.0)).alias("gain"),
+        times[1] = F.least(times[1], F.floor(F.unix_micros(as_timestamp(end)) / step) * step)
+    samples = samples.withColumns({"first_t": times[0], "last_t": times[1]})
+    every = F.when(F.col("first_t") <= F.col("last_t"), F.sequence("first_t", "last_t", F.lit(step).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    none = F.lit(None)
+    own = F.struct(F.col("us").alias("at"), none.cast("bigint").alias("t"), none.cast("struct<us:bigint,value:double,number:int,total:double>").alias("this"), "next", "earliest")
+    marks = F.transform(every, lambda t: F.struct((t - span).alias("at"), t.alias("t"), F.col("this"), none.cast("struct<us:bigint,value:double,number:int,total:double>").alias("next"), F.col("earliest")))
+    marked = samples.select(*key, F.inline(F.concat(F.array(own), marks)))
+    # a sample at the very start of a range lies outside it, so samples come before marks
+    in_order = Window.partitionBy(*key).orderBy("at", F.col("t").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    opened = marked.withColumn("opening", F.last(F.when(F.col("t").isNull(), F.col("next")), ignorenulls=True).over(in_order))
+    met = opened.withColumn("seen", F.count(F.when(F.col("t").isNull(), 1)).over(in_order)).where("t IS NOT NULL")
+    first = F.when(F.col("seen") == 0, F.col("earliest")).otherwise(F.col("opening"))
+    met = met.withColumn("first", first)
+    return met.select(
+        *key,
+        "t",
+        (F.col("this.number") - F.col("first.number") + 1).alias("n"),
+        F.col("first.us").alias("first_us"),
+        F.col("this.us").alias("last_us"),
+        F.col("first.value").alias("first"),
+        (F.col("this.total") - F.col("first.total")).alias("gain"),
     )
 
 

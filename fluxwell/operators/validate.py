@@ -6,7 +6,7 @@ the optimizer in one call instead of one per operator.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from fluxwell.functions.instants import as_timestamp, interval, parse_instant
 from fluxwell.functions.pinning import pin
 from fluxwell.schema import (
     FUTURE_TOLERANCE_SECONDS,
+    PROCESSING_ERROR,
     RANGE,
     RANGE_BOUNDS,
     SCHEMA,
@@ -22,6 +23,7 @@ from fluxwell.schema import (
     STRICT_PUMP_ID,
     STRICT_STATUSES,
     TIMESTAMP,
+    UNDECIDED,
 )
 
 _LIMIT = "_latest_allowed"
@@ -29,11 +31,16 @@ _LIMIT = "_latest_allowed"
 
 @dataclass(frozen=True)
 class Rule:
-    """``failed`` is the condition of a bad message and ``reason`` its text, both as SQL."""
+    """``failed`` is the condition of a bad message and ``reason`` its text, both as SQL.
+
+    A condition may be NULL where it can't be decided. A built-in rule then counts as kept; an extra rule that has a
+    ``name`` sends the message to the dead letters as a processing error, which names the rule.
+    """
 
     error_type: str
     failed: str
     reason: str
+    name: str | None = None
 
 
 def _blank(column: str) -> str:
@@ -106,17 +113,18 @@ def rules(profile: str = "standard", extra: tuple[Rule, ...] = ()) -> list[Rule]
     strict = profile == "strict"
     table = schema_rules() + (strict_rules() if strict else []) + timestamp_rules()
     table.append(range_rule(RANGE_BOUNDS + STRICT_BOUNDS if strict else RANGE_BOUNDS))
-    return table + list(extra)
+    return table + [replace(rule, name=rule.name or f"extra rule {i + 1}") for i, rule in enumerate(extra)]
 
 
 def verdict(table: list[Rule]) -> str:
-    """SQL of ``struct(error_type, error_reason)`` of the first failing rule, else NULL."""
-    cases = " ".join(
-        f"WHEN coalesce({rule.failed}, false) THEN "
-        f"named_struct('error_type', '{rule.error_type}', 'error_reason', {rule.reason})"
-        for rule in table
-    )
-    return f"CASE {cases} END"
+    """SQL of ``struct(error_type, error_reason)`` of the first rule that fails or can't be decided, else NULL."""
+    cases = []
+    for rule in table:
+        cases.append((f"coalesce({rule.failed}, false)", rule.error_type, rule.reason))
+        if rule.name:
+            cases.append((f"({rule.failed}) IS NULL", PROCESSING_ERROR, f"'{UNDECIDED}{rule.name}'"))
+    chain = " ".join(f"WHEN {test} THEN named_struct('error_type', '{kind}', 'error_reason', {reason})" for test, kind, reason in cases)
+    return f"CASE {chain} END"
 
 
 def validate(
@@ -129,7 +137,8 @@ def validate(
     """Add ``time`` (the parsed instant) and ``error`` to rows with a ``msg`` column.
 
     Rows whose ``parse_error`` is set keep a NULL message verdict; routing handles them.
-    ``extra`` rules run after the built-in ones. The result is pinned so that splitting it
+    ``extra`` rules run after the built-in ones; one without a name gets its number as its name,
+    so that no message passes a rule that could not be decided. The result is pinned so that splitting it
     cannot evaluate the rules again; pass ``pinned=False`` when no filter follows.
     """
     error = verdict(rules(profile, extra))

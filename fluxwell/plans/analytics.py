@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fluxwell.functions.instants import as_timestamp, interval
@@ -76,19 +76,20 @@ def hourly_solar_trend(raw: DataFrame, as_of=None, lookback: str = "48 hours") -
     )
 
 
-def error_code_analysis(raw: DataFrame, samples: int = 5) -> DataFrame:
+def error_code_analysis(raw: DataFrame, samples: int = 5, count: Column | None = None) -> DataFrame:
     """Abnormal readings per error code and status, with the first few pump ids.
 
     Readings are first reduced to one row per code, status and pump. The smallest ids then
     come from a limited ranking, which keeps ``samples`` rows per group and task before its
     shuffle; a list of all pumps of a group is never built. The ranking also orders by the
     aggregates, which changes nothing (a pump occurs once per group) but keeps both uses of
-    the reduced rows alike, so the table is scanned and shuffled once.
+    the reduced rows alike, so the table is scanned and shuffled once. ``count`` replaces the
+    count of rows where a row stands for several readings.
     """
     abnormal = raw.where((F.col("error_code") != 0) | (F.col("status") != "OPERATIONAL"))
     group = ["error_code", "status"]
     per_pump = abnormal.groupBy(*group, "pump_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("time").alias("last_seen")
+        (F.count(F.lit(1)) if count is None else count).alias("n"), F.max("time").alias("last_seen")
     )
     totals = per_pump.groupBy(*group).agg(
         F.sum("n").alias("occurrences"), F.max("last_seen").alias("last_seen")

@@ -10,16 +10,16 @@ from pyspark.sql import functions as F
 from fluxwell import fixtures
 from fluxwell.functions.instants import as_timestamp, interval
 from fluxwell.operators import aggregate, health, metrics, present, route
-from fluxwell.operators.validate import validate
-from fluxwell.plans import analytics, batch, ops, quality
-from fluxwell.schema import AGGREGATE_COLUMNS
+from fluxwell.operators.validate import Rule, validate
+from fluxwell.plans import analytics, batch, ops, quality, rollup
+from fluxwell.schema import RANGE
 from fluxwell.session import require, shared_folder
-from fluxwell.sources import tables
-from fluxwell.streaming import pipeline
+from fluxwell.streaming import pipeline, reconcile
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = fixtures.AS_OF
 DAY_END = "2024-01-01 23:59:59"
+NOW = pipeline.AVAILABLE_NOW
 
 
 def _judged(spark: SparkSession, sf_dir: str, lookback: str | None = None, profile: str = "standard") -> DataFrame:
@@ -80,6 +80,21 @@ def validate_strict_counts(spark, sf_dir):
     return _verdicts(_judged(spark, sf_dir, profile="strict"))
 
 
+#: Rules of a user: the first can't be decided where the motor stands still, the second where there is no environment.
+EXTRA_RULES = (
+    Rule(RANGE, "try_divide(msg.pump.flow_rate_lpm, msg.pump.rpm) > 10", "concat('flow per turn of ', msg.pump_id)", "flow per turn"),
+    Rule(RANGE, "msg.environment.humidity_percent > 98", "'too humid'"),
+)
+
+
+def validate_extra_rules(spark, sf_dir):
+    events = fixtures.events(require(spark), sf_dir)
+    judged = validate(fixtures.messages(events), AS_OF, extra=EXTRA_RULES)
+    kind = F.when(F.col("parse_error").isNotNull(), "DESERIALIZATION_ERROR").otherwise(F.coalesce("error.error_type", F.lit("OK")))
+    reason = F.when(F.col("error.error_type") == "PROCESSING_ERROR", F.col("error.error_reason"))
+    return judged.groupBy(kind.alias("verdict"), reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def parse_counts(spark, sf_dir):
     return _verdicts(_judged_json(spark, sf_dir))
 
@@ -140,18 +155,46 @@ def aggregated_metrics(spark, sf_dir):
     return aggregate.window_metrics_all(_raw(spark, sf_dir))
 
 
+CUSTOM_METRICS = {
+    "flow_rate": ("flow_rate_lpm", ("sum", "avg", "count", "variance", "stddev")),
+    "vibration": ("vibration_mm_s", ("min", "max", "distinct")),
+    "solar_power": "solar_power_w",
+}
+
+
+def agg_custom(spark, sf_dir):
+    """Own lists of statistics, for both sizes, from one scan."""
+    return aggregate.window_metrics_all(_raw(spark, sf_dir), CUSTOM_METRICS)
+
+
+def agg_quantiles(spark, sf_dir):
+    """How many windows have a merged median within two percent of ranks of the exact one, and all windows."""
+    raw = _raw(spark, sf_dir)
+    merged = aggregate.window_metrics_all(raw, {"flow": ("flow_rate_lpm", ("median",))}, {"1m": "1 minute", "1h": "1 hour"})
+    hours = raw.select("pump_id", F.date_trunc("hour", "time").alias("window_start"), "flow_rate_lpm")
+    met = hours.join(merged.where("window_size = '1h'"), ["pump_id", "window_start"])
+    below = F.avg((F.col("flow_rate_lpm") < F.col("median_flow")).cast("double"))
+    upto = F.avg((F.col("flow_rate_lpm") <= F.col("median_flow")).cast("double"))
+    ranks = met.groupBy("pump_id", "window_start").agg(below.alias("low"), upto.alias("high"))
+    return ranks.agg(F.count(F.lit(1)).alias("windows"), F.count_if((F.col("low") <= 0.52) & (F.col("high") >= 0.48)).alias("close"))
+
+
+def _land(spark: SparkSession, root: str, source: DataFrame) -> None:
+    payloads = fixtures.payloads(source)
+    pipeline.start_land(payloads, f"{root}/landed", f"{root}/checkpoint", AS_OF, failed_at=F.col("event_time"), trigger=NOW).awaitTermination()
+
+
+def _window_stream(spark: SparkSession, root: str, size: str, max_files: int | None = None, trigger: dict | None = None):
+    valid = pipeline.landed_valid(spark, f"{root}/landed", max_files)
+    return pipeline.start_aggregates(valid, f"{root}/aggregated_metrics", f"{root}/checkpoint", size, trigger=trigger or NOW)
+
+
 def _stream_windows(spark: SparkSession, sf_dir: str, size: str) -> DataFrame:
-    """The streaming job itself over the whole table: land, then one window query."""
+    """The streaming job itself over the whole table: land, then one window query; with the windows it keeps open."""
     root = shared_folder(require(spark))
-    payloads = fixtures.payloads(fixtures.events(spark, sf_dir, streaming=True))
-    now, landed, out = pipeline.AVAILABLE_NOW, f"{root}/landed", f"{root}/aggregated_metrics"
-    pipeline.start_land(
-        payloads, landed, f"{root}/checkpoint", AS_OF, failed_at=F.col("event_time"), trigger=now
-    ).awaitTermination()
-    pipeline.start_aggregates(
-        pipeline.landed_valid(spark, landed), out, f"{root}/checkpoint", size, trigger=now
-    ).awaitTermination()
-    return tables.load(spark, landed, out).aggregates.select(*AGGREGATE_COLUMNS)
+    _land(spark, root, fixtures.events(spark, sf_dir, streaming=True))
+    _window_stream(spark, root, size).awaitTermination()
+    return reconcile.all_windows(spark, f"{root}/aggregated_metrics", f"{root}/checkpoint", size)
 
 
 def stream_agg_1m(spark, sf_dir):
@@ -162,6 +205,53 @@ def stream_agg_5m(spark, sf_dir):
     return _stream_windows(spark, sf_dir, "5m")
 
 
+def _arriving(spark: SparkSession, sf_dir: str, root: str, late: bool = True):
+    """Write the events slice by slice, as they arrive; yields after each slice."""
+    events = fixtures.events(spark, sf_dir)
+    for k in range(fixtures.SLICES):
+        events.where(fixtures.arrival(events, late) == k).coalesce(1).write.mode("append").parquet(f"{root}/events")
+        yield spark.readStream.schema(fixtures.EVENTS_DDL)
+
+
+def _late_stream(spark: SparkSession, sf_dir: str, size: str) -> str:
+    """Land and aggregate after every slice, each time from the checkpoint: rows of a later slice find closed windows."""
+    root = shared_folder(require(spark))
+    for reader in _arriving(spark, sf_dir, root):
+        _land(spark, root, reader.parquet(f"{root}/events"))
+        _window_stream(spark, root, size).awaitTermination()
+    return root
+
+
+def late_rows(spark, sf_dir):
+    """Readings that the five-minute windows lost to the watermark."""
+    root = _late_stream(spark, sf_dir, "5m")
+    rows = reconcile.late_rows(spark, f"{root}/landed", f"{root}/checkpoint", "5m")
+    return rows.select("time", "pump_id", "flow_rate_lpm", "window_start", "watermark")
+
+
+def late_windows(spark, sf_dir):
+    """Five-minute windows that lost readings, with how many."""
+    root = _late_stream(spark, sf_dir, "5m")
+    short = reconcile.short_windows(spark, f"{root}/landed", f"{root}/aggregated_metrics", f"{root}/checkpoint", "5m")
+    return short.select("window_start", "pump_id", "record_count", "stream_count", "late_count")
+
+
+def stream_restart_5m(spark, sf_dir):
+    """Micro-batches of a few files each, stopped on the way and started again, late rows repaired: all windows in the end."""
+    root = shared_folder(require(spark))
+    for reader in _arriving(spark, sf_dir, root):
+        pass
+    _land(spark, root, reader.option("maxFilesPerTrigger", 1).parquet(f"{root}/events"))
+    query = _window_stream(spark, root, "5m", 2, {"processingTime": "0 seconds"})
+    while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < 1):
+        query.awaitTermination(1)
+    query.stop()
+    _window_stream(spark, root, "5m", 1).awaitTermination()
+    paths = f"{root}/landed", f"{root}/aggregated_metrics", f"{root}/checkpoint"
+    reconcile.repair(spark, *paths, "5m")
+    return reconcile.all_windows(spark, *paths[1:], "5m").drop("is_open")
+
+
 # --- ad-hoc questions -------------------------------------------------------------------------
 
 
@@ -170,7 +260,12 @@ def q1_top_water(spark, sf_dir):
 
 
 def q2_offline(spark, sf_dir):
-    return analytics.offline_pumps(_raw(spark, sf_dir), AS_OF).drop("inactivity")
+    return _in_micros(analytics.offline_pumps(_raw(spark, sf_dir), AS_OF))
+
+
+def _in_micros(offline: DataFrame) -> DataFrame:
+    """Intervals do not compare across engines; microseconds do."""
+    return offline.withColumn("inactivity", F.expr("unix_micros(timestamp_micros(0) + inactivity)"))
 
 
 def q3_hourly_solar(spark, sf_dir):
@@ -183,7 +278,42 @@ def q4_error_codes(spark, sf_dir):
 
 
 def q5_latest_dlq(spark, sf_dir):
-    return quality.recent_dlq(_dlq(spark, sf_dir), n=1).drop("original_payload")
+    return quality.recent_dlq(_dlq(spark, sf_dir), n=1, payload_chars=None)
+
+
+# --- the same answers from the day rollup -------------------------------------------------------
+
+
+def _rolled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the table in two halves, and bring the rollup up to date after each."""
+    root = shared_folder(require(spark))
+    events = fixtures.events(spark, sf_dir)
+    for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 != 0):
+        batch.land(fixtures.payloads(events.where(half)), f"{root}/landed", AS_OF, failed_at=F.col("event_time"))
+        rollup.build(spark, f"{root}/landed", f"{root}/rollup")
+    return rollup.read(spark, f"{root}/rollup")
+
+
+def q2_offline_rollup(spark, sf_dir):
+    return _in_micros(rollup.offline_pumps(_rolled(spark, sf_dir), AS_OF))
+
+
+def q4_error_codes_rollup(spark, sf_dir):
+    report = rollup.error_code_analysis(_rolled(spark, sf_dir))
+    return report.withColumn("sample_pumps", F.array_join("sample_pumps", ","))
+
+
+def d6_freshness_rollup(spark, sf_dir):
+    return rollup.freshness(_rolled(spark, sf_dir), AS_OF)
+
+
+def o1_pumps_by_hour(spark, sf_dir):
+    """Distinct pumps of every hour: exact, and whether merged minute sketches come within three percent."""
+    raw = _raw(spark, sf_dir)
+    exact = raw.groupBy(F.date_trunc("hour", "time").alias("time")).agg(F.countDistinct("pump_id").alias("pumps_online"))
+    merged = rollup.pumps_between(rollup.pump_sketches(raw), every="hour")
+    close = F.abs(F.col("pumps") - F.col("pumps_online")) <= 0.03 * F.col("pumps_online")
+    return exact.join(merged, "time").select("time", "pumps_online", close.alias("close"))
 
 
 # --- operations -------------------------------------------------------------------------------
@@ -320,7 +450,7 @@ def h_sum_rate(spark, sf_dir):
 
 def h_rate_ratio(spark, sf_dir):
     ratio = _label(health.rate_ratio(_samples(spark, sf_dir), UNITS, COUNTER), "kind")
-    return _rounded(ratio.where(~F.isnan("value")), "value")
+    return _rounded(ratio, "value")
 
 
 def h_summarize(spark, sf_dir):
@@ -366,21 +496,23 @@ def b_pivot(spark, sf_dir):
 
 
 def b_reduce_last(spark, sf_dir):
-    return present.reduce(quality.dlq_per_minute(_dlq(spark, sf_dir), DAY_END, "24 hours"), "dlq_messages")
+    return present.reduce(quality.dlq_per_minute(_dlq(spark, sf_dir), lookback=None), "dlq_messages")
 
 
 def b_reduce_sum(spark, sf_dir):
-    per_minute = quality.dlq_per_minute(_dlq(spark, sf_dir), DAY_END, "24 hours")
+    per_minute = quality.dlq_per_minute(_dlq(spark, sf_dir), lookback=None)
     return present.reduce(per_minute, "dlq_messages", "sum")
 
 
 def queries() -> dict[str, Query]:
     named = [
-        validate_counts, validate_strict_counts, parse_counts,
+        validate_counts, validate_strict_counts, validate_extra_rules, parse_counts,
         raw_telemetry, raw_telemetry_json, dlq_records, dlq_records_json,
         landed_outcomes, valid_json, dlq_json, pipeline_counters,
-        agg_1m, agg_5m, aggregated_metrics, stream_agg_1m, stream_agg_5m,
+        agg_1m, agg_5m, aggregated_metrics, agg_custom, agg_quantiles,
+        stream_agg_1m, stream_agg_5m, late_rows, late_windows, stream_restart_5m,
         q1_top_water, q2_offline, q3_hourly_solar, q4_error_codes, q5_latest_dlq,
+        q2_offline_rollup, q4_error_codes_rollup, d6_freshness_rollup, o1_pumps_by_hour,
         o1_pumps_online, o2_water_today, o3_avg_solar, o4_latest_status, o5_flow_avg,
         o6_flow_sum, o6_flow_stacked, o7_error_dist, o8_solar_ts, o9_underperforming,
         d1_success_rate, d2_valid, d3_dlq, d4_dlq_rate, d5_error_types, d6_freshness,

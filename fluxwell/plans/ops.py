@@ -10,6 +10,7 @@ from fluxwell.functions.rounding import round_numeric
 from fluxwell.plans.analytics import litres
 from fluxwell.sources.tables import since, time_range
 
+# --- Fixed values: columns of the latest-status report --------------------------------------
 LATEST_COLUMNS = [
     "pump_id",
     "latitude",
@@ -23,6 +24,10 @@ LATEST_COLUMNS = [
 ]
 
 
+#: Ranges of ids that a stacked total is cut into.
+STACK_BLOCKS = 64
+
+
 def window_bounds(as_of=None, lookback: str = "1 hour", start=None, end=None):
     """The selected dashboard range: explicit bounds, or the last ``lookback``."""
     now = as_timestamp(as_of)
@@ -78,21 +83,33 @@ def flow_timeseries(raw: DataFrame, stat: str = "avg", as_of=None, lookback: str
     )
 
 
-def flow_stacked(raw: DataFrame, as_of=None, lookback: str = "1 hour", start=None, end=None, block: int = 8) -> DataFrame:
+def id_bounds(ids: DataFrame, column: str, blocks: int = STACK_BLOCKS) -> list[str]:
+    """Ids that cut the sorted ids of a frame into about ``blocks`` even ranges.
+
+    They come from the ``16 * blocks`` ids of smallest hash, which is all that reaches the driver, whatever the ids look
+    like; the same ids always give the same bounds.
+    """
+    drawn = ids.where(F.col(column).isNotNull()).select(column).distinct().orderBy(F.xxhash64(column), column).limit(16 * blocks)
+    sample = sorted((row[0] for row in drawn.collect()), key=str.encode)
+    return [sample[len(sample) * k // blocks] for k in range(1, blocks)] if len(sample) >= 16 * blocks else []
+
+
+def flow_stacked(raw: DataFrame, as_of=None, lookback: str = "1 hour", start=None, end=None, blocks: int = STACK_BLOCKS) -> DataFrame:
     """Flow per pump and minute with the running total over pumps in id order.
 
-    A minute can hold the whole fleet, so the running total has two levels: pumps that
-    share the first ``block`` characters are added up within their block, and each block
-    is shifted by the total of the blocks before it. Cutting a prefix keeps the id order,
-    so the result is exact.
+    A minute can hold the whole fleet, so the running total has two levels: pumps of one range of ids are added up
+    within their block, and each block is shifted by the total of the blocks before it. Ranges are cut at sampled ids,
+    so blocks are even also when ids share a long prefix; a small fleet is one block. Null ids come first.
     """
     low, high = window_bounds(as_of, lookback, start, end)
     flows = (
         time_range(raw, "time", low, high)
         .groupBy(F.date_trunc("minute", "time").alias("time"), "pump_id")
         .agg(F.sum("flow_rate_lpm").alias("flow_rate"))
-        .withColumn("block", F.coalesce(F.left("pump_id", F.lit(block)), F.lit("")))  # null ids come first
     )
+    bounds = F.array(*map(F.lit, id_bounds(time_range(raw, "time", low, high), "pump_id", blocks))).cast("array<string>")
+    block = F.size(F.filter(bounds, lambda b: b <= F.col("pump_id")))
+    flows = flows.withColumn("block", F.coalesce(block, F.lit(0)))
     inner = Window.partitionBy("time", "block").orderBy("pump_id").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

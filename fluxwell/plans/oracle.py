@@ -153,10 +153,33 @@ def _windows(size: str, minutes: int, source: str = "raw_telemetry") -> str:
       FROM {source} GROUP BY 1, 2, 4"""
 
 
-def _closed(size: str, minutes: int) -> str:
-    """Windows a stream has closed: end no later than the last reading minus the delay."""
+def _custom(size: str, minutes: int) -> str:
+    flow, solar = "flow_rate_lpm", "solar_power_w"
+    stats = [f"{_round3(f'sum({flow})')} AS sum_flow_rate", f"{_round3(f'avg({flow})')} AS avg_flow_rate", f"count({flow}) AS count_flow_rate"]
+    stats += [f"{_round3(f'var_samp({flow})')} AS variance_flow_rate", f"{_round3(f'stddev_samp({flow})')} AS stddev_flow_rate"]
+    stats += [f"{_round3(f'{s}(vibration_mm_s)')} AS {s}_vibration" for s in ("min", "max")] + ["count(DISTINCT vibration_mm_s) AS distinct_vibration"]
+    stats += [f"{_round3(f'{s}({solar})')} AS {s}_solar_power" for s in ("avg", "max", "min")]
+    return f"""SELECT time_bucket(INTERVAL '{minutes} minutes', time) AS window_start,
+      time_bucket(INTERVAL '{minutes} minutes', time) + INTERVAL '{minutes} minutes' AS window_end,
+      '{size}' AS window_size, pump_id, {", ".join(stats)}, count(*) AS record_count
+      FROM raw_telemetry GROUP BY 1, 2, 4"""
+
+
+def _streamed(size: str, minutes: int) -> str:
+    """Windows of a stream: open are those that end later than the last reading minus the delay."""
     return f"""{_TABLES}, w AS ({_windows(size, minutes)})
-      SELECT * FROM w WHERE window_end <= (SELECT max(time) FROM raw_telemetry) - INTERVAL '10 seconds'"""
+      SELECT *, window_end > (SELECT max(time) FROM raw_telemetry) - INTERVAL '10 seconds' AS is_open FROM w"""
+
+
+_LATE = f"""{_TABLES}, v AS (
+  SELECT *, least((epoch_us(event_time) - 1704067200000000) // 28800000000 + CASE WHEN e % 16 = 5 THEN 1 ELSE 0 END, 3) AS slice
+  FROM j WHERE error_type IS NULL),
+marks AS (SELECT slice, max(epoch_us(event_time)) // 1000 * 1000 - 10000000 AS mark FROM v GROUP BY slice),
+l AS (
+  SELECT v.event_time AS time, pump_id, flow_rate_lpm, time_bucket(INTERVAL '5 minutes', event_time) AS window_start,
+    (SELECT max(mark) FROM marks WHERE marks.slice < v.slice) AS mark FROM v),
+late AS (SELECT *, make_timestamp(mark) AS watermark FROM l WHERE epoch_us(window_start) + 300000000 <= mark)
+"""
 
 
 _SAMPLES = """WITH counts AS (
@@ -235,8 +258,28 @@ def oracle_sql() -> dict[str, str]:
         "agg_1m": _select(_windows("1m", 1)),
         "agg_5m": _select(_windows("5m", 5)),
         "aggregated_metrics": _select(f"{_windows('1m', 1)} UNION ALL {_windows('5m', 5)}"),
-        "stream_agg_1m": _closed("1m", 1),
-        "stream_agg_5m": _closed("5m", 5),
+        "agg_custom": _select(f"{_custom('1m', 1)} UNION ALL {_custom('5m', 5)}"),
+        "agg_quantiles": _select(
+            """SELECT count(*) AS windows, count(*) AS close FROM (
+              SELECT DISTINCT pump_id, date_trunc('hour', time) FROM raw_telemetry)"""
+        ),
+        "stream_agg_1m": _streamed("1m", 1),
+        "stream_agg_5m": _streamed("5m", 5),
+        "stream_restart_5m": _select(_windows("5m", 5)),
+        "late_rows": f"{_LATE} SELECT time, pump_id, flow_rate_lpm, window_start, watermark FROM late",
+        "late_windows": f"""{_LATE}, c AS (
+              SELECT window_start, pump_id, count(*) AS record_count,
+                count(*) FILTER (WHERE coalesce(epoch_us(window_start) + 300000000 > mark, true)) AS stream_count
+              FROM l GROUP BY ALL)
+            SELECT *, record_count - stream_count AS late_count FROM c WHERE stream_count < record_count""",
+        "validate_extra_rules": f"""{_judged()}, x AS (
+              SELECT *, CASE WHEN error_type IS NOT NULL THEN error_type
+                WHEN rpm <> 0 AND flow_rate_lpm / rpm > 10 THEN 'RANGE' WHEN rpm = 0 THEN 'PROCESSING_ERROR'
+                WHEN has_environment AND humidity_percent > 98 THEN 'RANGE'
+                WHEN NOT has_environment THEN 'PROCESSING_ERROR' ELSE 'OK' END AS verdict FROM j)
+            SELECT verdict, CASE WHEN verdict = 'PROCESSING_ERROR' THEN concat('Unexpected processing error: undecidable ',
+                CASE WHEN rpm = 0 THEN 'flow per turn' ELSE 'extra rule 2' END) END AS reason, count(*) AS n
+            FROM x GROUP BY 1, 2""",
         "q1_top_water": _select(
             f"""SELECT pump_id, {_num("sum(flow_rate_lpm * (5.0 / 60.0))", 2)} AS total_liters,
             {_num("sum(flow_rate_lpm * (5.0 / 60.0)) / 1000.0", 2)} AS cubic_meters
@@ -244,7 +287,7 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY pump_id ORDER BY total_liters DESC, pump_id LIMIT 10"""
         ),
         "q2_offline": _select(
-            f"""SELECT pump_id, last_seen, us / CAST(1000000 AS DOUBLE) AS inactivity_seconds FROM (
+            f"""SELECT pump_id, last_seen, us AS inactivity, us / CAST(1000000 AS DOUBLE) AS inactivity_seconds FROM (
               SELECT pump_id, max(time) AS last_seen,
                 greatest(epoch_us(max(max(time)) OVER ()), epoch_us({AS_OF})) - epoch_us(max(time)) AS us
               FROM raw_telemetry GROUP BY pump_id) WHERE us > 300 * 1000000"""
@@ -264,7 +307,7 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY error_code, status"""
         ),
         "q5_latest_dlq": _select(
-            """SELECT error_timestamp, pump_id, error_type, error_reason FROM dlq_records
+            """SELECT error_timestamp, pump_id, error_type, error_reason, original_payload FROM dlq_records
             ORDER BY error_timestamp DESC, pump_id NULLS FIRST, error_type, error_reason LIMIT 1"""
         ),
         "o1_pumps_online": _select(
@@ -354,8 +397,9 @@ def oracle_sql() -> dict[str, str]:
         "h_sum_rate": _SAMPLES + _extrapolated("total_n", 60, 60, "i")
         + "SELECT ts, round(sum(inc / 60), 6) AS value FROM i GROUP BY ts",
         "h_rate_ratio": _SAMPLES + _extrapolated("total_k", 300, 60, "x") + _extrapolated("total_n", 300, 60, "y")
-        + """SELECT kind, ts, round((x.inc / 300) / (y.inc / 300), 6) AS value
-            FROM x JOIN y USING (kind, ts) WHERE y.inc <> 0""",
+        + """SELECT kind, ts, CASE WHEN y.inc <> 0 THEN round((x.inc / 300) / (y.inc / 300), 6)
+              WHEN x.inc > 0 THEN CAST('infinity' AS DOUBLE) ELSE CAST('nan' AS DOUBLE) END AS value
+            FROM x JOIN y USING (kind, ts)""",
         "h_summarize": f"""{_SAMPLES} SELECT kind AS queue, round(avg(gauge), 6) AS mean, max(gauge) AS max
             FROM s GROUP BY kind""",
         "b_value_map": _select(
@@ -379,6 +423,11 @@ def oracle_sql() -> dict[str, str]:
         """) SELECT pump_id, seconds_since_last, CASE WHEN seconds_since_last >= 120 THEN 'red'
         WHEN seconds_since_last >= 30 THEN 'yellow' ELSE 'green' END AS band FROM f"""
     )
+    out["o1_pumps_by_hour"] = _select(
+        "SELECT date_trunc('hour', time) AS time, count(DISTINCT pump_id) AS pumps_online, true AS close FROM raw_telemetry GROUP BY 1"
+    )
+    for name in ("q2_offline", "q4_error_codes", "d6_freshness"):
+        out[f"{name}_rollup"] = out[name]
     flows = f"""SELECT time_bucket(INTERVAL '1 minute', time) AS time, pump_id, {{fn}}(flow_rate_lpm) AS x
         FROM raw_telemetry WHERE time BETWEEN {AS_OF} - INTERVAL '1 hour' AND {AS_OF} GROUP BY 1, 2"""
     for name, fn in (("o5_flow_avg", "avg"), ("o6_flow_sum", "sum")):
@@ -389,8 +438,7 @@ def oracle_sql() -> dict[str, str]:
         f""", f AS ({flows.format(fn="sum")}) SELECT time, pump_id, round(x, 6) AS flow_rate,
         round(sum(x) OVER (PARTITION BY time ORDER BY pump_id), 6) AS stacked FROM f"""
     )
-    minutes = f"""SELECT time_bucket(INTERVAL '1 minute', error_timestamp) AS time, count(*) AS n FROM dlq_records
-        WHERE error_timestamp BETWEEN {DAY_END} - INTERVAL '24 hours' AND {DAY_END} GROUP BY 1"""
+    minutes = "SELECT time_bucket(INTERVAL '1 minute', error_timestamp) AS time, count(*) AS n FROM dlq_records GROUP BY 1"
     out["b_reduce_last"] = _select(f", f AS ({minutes}) SELECT max_by(n, time) AS dlq_messages FROM f")
     out["b_reduce_sum"] = _select(f", f AS ({minutes}) SELECT CAST(sum(n) AS BIGINT) AS dlq_messages FROM f")
     return out

@@ -39,9 +39,9 @@ def dlq_count(dlq: DataFrame, as_of=None, lookback: str = "1 hour") -> DataFrame
     )
 
 
-def dlq_per_minute(dlq: DataFrame, as_of=None, lookback: str = "1 hour", start=None, end=None) -> DataFrame:
-    """Dead letters per minute; minutes without any are absent."""
-    low, high = window_bounds(as_of, lookback, start, end)
+def dlq_per_minute(dlq: DataFrame, as_of=None, lookback: str | None = "1 hour", start=None, end=None) -> DataFrame:
+    """Dead letters per minute; minutes without any are absent. Without a ``lookback`` and bounds: of the whole table."""
+    low, high = (start, end) if lookback is None else window_bounds(as_of, lookback, start, end)
     return (
         time_range(dlq, _T, low, high)
         .groupBy(F.date_trunc("minute", _T).alias("time"))
@@ -91,8 +91,9 @@ def freshness(raw: DataFrame, as_of=None) -> DataFrame:
     )
 
 
-def recent_dlq(dlq: DataFrame, n: int = 10, payload_chars: int = 500) -> DataFrame:
-    """Newest dead letters, payload cut for display."""
+def recent_dlq(dlq: DataFrame, n: int = 10, payload_chars: int | None = 500) -> DataFrame:
+    """Newest dead letters, payload cut for display, or whole without ``payload_chars``."""
+    payload = F.left("original_payload", F.lit(payload_chars)) if payload_chars else F.col("original_payload")
     return (
         dlq.orderBy(F.desc(_T), "pump_id", "error_type", "error_reason", "original_payload")
         .limit(n)
@@ -101,7 +102,7 @@ def recent_dlq(dlq: DataFrame, n: int = 10, payload_chars: int = 500) -> DataFra
             "pump_id",
             "error_type",
             "error_reason",
-            F.left("original_payload", F.lit(payload_chars)).alias("original_payload"),
+            payload.alias("original_payload"),
         )
     )
 

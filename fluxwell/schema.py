@@ -87,6 +87,7 @@ TELEMETRY_SCHEMA = T.StructType(
     + [T.StructField(section, _struct(leaves)) for section, leaves in SECTIONS.items()]
 )
 
+# --- Fixed values: column names of the three tables ----------------------------------------
 RAW_SCHEMA = _struct(
     [("time", "timestamp"), ("pump_id", "string")]
     + [(column, kind) for column, _, kind, _ in RAW_FROM_MESSAGE]
@@ -142,10 +143,11 @@ SCHEMA = "SCHEMA"
 TIMESTAMP = "TIMESTAMP"
 RANGE = "RANGE"
 DESERIALIZATION_ERROR = "DESERIALIZATION_ERROR"
-PROCESSING_ERROR = "PROCESSING_ERROR"  # part of the vocabulary; native expressions never raise it
+PROCESSING_ERROR = "PROCESSING_ERROR"  # raised by extra rules that can't be decided
 ERROR_TYPES = [SCHEMA, TIMESTAMP, RANGE, DESERIALIZATION_ERROR, PROCESSING_ERROR]
 UNKNOWN_PUMP = "UNKNOWN"
 PARSE_PREFIX = "JSON parse error: "
+UNDECIDED = "Unexpected processing error: undecidable "
 
 # --- Fixed values: inclusive bounds, checked in this order --------------------------------
 RANGE_BOUNDS: list[tuple[str, float, float]] = [

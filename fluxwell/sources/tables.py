@@ -29,10 +29,10 @@ class Tables:
     aggregates: DataFrame | None = None
 
 
-def read_landed(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """The landed table with its declared schema, as a batch or a stream."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(LANDED_SCHEMA).parquet(path)
+def read_landed(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
+    """The landed table with its declared schema, as a batch or a stream of ``max_files`` files a micro-batch."""
+    reader = (spark.readStream if streaming else spark.read).schema(LANDED_SCHEMA)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 def raw_of(landed: DataFrame) -> DataFrame:

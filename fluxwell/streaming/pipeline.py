@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fluxwell.operators import metrics, route
+from fluxwell.operators import metrics, partials, route
 from fluxwell.operators.aggregate import window_metrics
+from fluxwell.operators.partials import Metrics
 from fluxwell.plans.batch import judge
 from fluxwell.schema import DEAD, VALID, WATERMARK_DELAY, WINDOW_METRICS, WINDOWS
 from fluxwell.sources.tables import dlq_of, raw_of, read_landed
@@ -108,14 +109,15 @@ def start_aggregates(
     delay: str = WATERMARK_DELAY,
     trigger: dict | None = None,
     windows: dict[str, str] = WINDOWS,
+    statistics: Metrics = WINDOW_METRICS,
 ) -> StreamingQuery:
     """Write each window once, when the watermark passes its end.
 
-    Rows for a closed window are dropped here (they stay in the table); their number is
-    ``numRowsDroppedByWatermark`` in the query progress.
+    Rows for a closed window are dropped here (they stay in the table); ``reconcile`` finds
+    them and repairs their windows, and reads the windows that are still open.
     """
-    needed = valid.select("time", "pump_id", *WINDOW_METRICS.values())
-    closed = window_metrics(with_event_time(needed, delay), size, windows=windows)
+    needed = valid.select("time", "pump_id", *partials.columns(statistics))
+    closed = window_metrics(with_event_time(needed, delay), size, statistics, windows)
     return (
         closed.writeStream.queryName(f"agg-{size}")
         .outputMode("append")
@@ -126,9 +128,9 @@ def start_aggregates(
     )
 
 
-def landed_valid(spark: SparkSession, landed: str) -> DataFrame:
-    """Valid landed rows as a stream."""
-    return read_landed(spark, landed, streaming=True).where(F.col("outcome") == VALID)
+def landed_valid(spark: SparkSession, landed: str, max_files: int | None = None) -> DataFrame:
+    """Valid landed rows as a stream; ``max_files`` bounds what one micro-batch admits."""
+    return read_landed(spark, landed, streaming=True, max_files=max_files).where(F.col("outcome") == VALID)
 
 
 def start_pipeline(

@@ -181,7 +181,7 @@ def write_all_aggregates(windows: DataFrame, path: str) -> None:
 
 def write_aggregates(batch: DataFrame, path: str, size: str) -> None:
     """Write one window size of ``aggregated_metrics``, once per key."""
-    rows = batch.where(F.col("window_size") == size).select(*AGGREGATE_COLUMNS).drop("window_size")
+    rows = batch.where(F.col("window_size") == size).drop("window_size")
     keys = [k for k in AGGREGATE_KEY if k != "window_size"]
     order = [F.col("pump_id"), F.desc("window_start")]
     upsert_by_key(rows, aggregate_path(path, size), keys, "window_start", unique=True, order=order)

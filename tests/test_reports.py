@@ -137,8 +137,8 @@ def test_stacked_by_brute_force(spark):
     for r in rows:
         if r["time"] >= ago(hours=1):
             flows[r["time"].replace(second=0, microsecond=0)][r["pump_id"]] += r["flow_rate_lpm"]
-    for block in (1, 2, 8):
-        got = ops.flow_stacked(make(spark, rows), AS_OF, block=block).collect()
+    for blocks in (1, 2, 8):
+        got = ops.flow_stacked(make(spark, rows), AS_OF, blocks=blocks).collect()
         assert len(got) == sum(len(v) for v in flows.values())
         for g in got:
             pumps = flows[g["time"]]
@@ -307,6 +307,34 @@ def test_increase_shuffles_once(spark):
     assert final.count("Exchange") == 1 and "Python" not in plan
 
 
+def rows_made(frame):
+    """Rows that every operator of a finished query put out, by operator."""
+    frame.collect()
+    found, todo = [], [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined():
+            found.append((name, metric.get().value()))
+    return found
+
+
+def test_rows_do_not_grow_with_the_range(spark):
+    """A day's range at a step of 15 s holds each sample 5,760 times; no operator makes such rows."""
+    frame = samples(spark, [(s, {"k": k}, s) for s in range(0, 14400, 15) for k in "ab"])
+    for span, step in ((60, 60), (3600, 15), (86400, 15)):
+        made = rows_made(health.increase(frame, "c", span, step, end=datetime(2024, 3, 1, 4)))
+        # at most two blocks for a sample, and one mark for an evaluation time
+        assert max(n for _, n in made) <= 2 * 1920 + 2 * 14400 // step + 2, (span, step, made)
+
+
 def test_start_and_end(spark):
     frame = samples(spark, [(s, {}, s) for s in range(0, 600, 15)])
     whole = {r["ts"]: r["value"] for r in health.increase(frame, "c").collect()}
