@@ -55,14 +55,15 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint as a signed long) of every row of ``docs``."""
+    """``doc_id``, ``raw`` (a hash of the text) and ``fp`` (the fingerprint as a signed long) of every row of ``docs``."""
 
     def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = np.fromiter((fingerprint(x, words) for x in frame["text"]), dtype=np.uint64, count=len(frame))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "fp": found.view(np.int64)})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "raw": frame["raw"], "fp": found.view(np.int64)})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(hashed, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("raw"), "text")
+    return rows.mapInPandas(hashed, "doc_id long, raw long, fp long")
 
 
 @dataclass
@@ -166,6 +167,17 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
     return spread.groupBy("leaf", "i", "j").applyInPandas(searched, "a long, b long")
 
 
+def _grouped(docs: DataFrame, bits: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """:func:`fingerprints` of ``docs``, and ``fp``, ``root`` (of its group) and ``component_id`` of each distinct one."""
+    hashed = settle(fingerprints(docs, words), "fingerprints")
+    distinct = settle(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    found = settle(links(distinct, bits), "links")
+    groups = components(found, "a", "b")
+    rooted = settle(distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")), "rooted")
+    least = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
+    return hashed, settle(rooted.join(least, "root").select("fp", "root", "component_id"), "ids")
+
+
 def near_duplicates(docs: DataFrame, bits: int = 2, words: int = 3) -> DataFrame:
     """Near-duplicate groups of all rows of ``docs`` (``doc_id``, ``text``; more columns are ignored).
 
@@ -174,27 +186,25 @@ def near_duplicates(docs: DataFrame, bits: int = 2, words: int = 3) -> DataFrame
     that repeat a ``doc_id`` count each, a null ``doc_id`` stays null but takes part in links, and a null text
     is an empty one. Only distinct fingerprints are compared, so copies meet in no join.
     """
-    hashed = settle(fingerprints(docs, words), "fingerprints")
-    distinct = settle(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    found = settle(links(distinct, bits), "links")
-    groups = components(found, "a", "b")
-    rooted = settle(distinct.join(groups, distinct["fp"] == groups["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("root")), "rooted")
-    least = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    ids = settle(rooted.join(least, "root").select("fp", "component_id"), "ids")
+    hashed, ids = _grouped(docs, bits, words)
     return hashed.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def deduplicate(docs: DataFrame, bits: int = 2, words: int = 3, similarity: float | None = None) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its near-duplicate group, with all their columns.
+    """One row of each near-duplicate group of ``docs``, with all its columns: the one with the smallest ``doc_id``.
 
-    With a ``similarity``, groups are those of ``shingles.groups``, and ``bits`` is not used. Of rows that repeat such
-    a ``doc_id`` one stays, any of them. Rows with a null ``doc_id`` all stay, as nothing names them.
+    With a ``similarity``, groups are those of ``shingles.groups``, and ``bits`` is not used. Of rows that share the smallest
+    ``doc_id`` of a group, the one with the smallest hash of its text stays, and of equal rows one. A null ``doc_id`` is
+    larger than all others, and such rows are judged like any: of a group without an id one row stays.
     """
     if similarity is None:
-        groups = near_duplicates(docs, bits, words)
+        hashed, ids = _grouped(docs, bits, words)
+        groups = hashed.join(ids, "fp").select("doc_id", "raw", "root")
     else:
-        found = settle(shingles.groups(docs, words, similarity), "groups")
-        groups = found.join(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+        groups = shingles.groups(docs, words, similarity)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "raw")).alias("first")
+    kept = groups.groupBy("root").agg(first).select("first.nameless", F.coalesce("first.doc_id", F.lit(0)).alias("id"), "first.raw")
+    kept = settle(kept.select(F.col("nameless").alias("_nameless"), F.col("id").alias("_id"), F.col("raw").alias("_raw")), "kept")
+    keys = {"_nameless": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_raw": F.xxhash64("text")}
+    # rows meet and repeated ones go in one partitioning, so texts are shuffled once
+    return docs.withColumns(keys).join(kept, list(keys), "left_semi").dropDuplicates(list(keys)).select(*docs.columns)

@@ -166,6 +166,10 @@ def test_simhash_odd_rows(spark, docs, none):
     assert found[9, f"{simhash.fingerprint(ODD[9]):016x}"] == 8
     kept = simhash.deduplicate(docs)
     assert kept.columns == docs.columns and kept.where("doc_id IS NULL").count() == 1
+    twice = docs.where("doc_id IN (3, 9)").union(docs.where("doc_id IN (3, 9)")).union(docs.where("doc_id IS NULL")).union(docs.where("doc_id IS NULL"))
+    assert sorted(r["text"][:4] for r in simhash.deduplicate(twice).collect()) == ["a", "no i", "same"]
+    by_words = simhash.deduplicate(twice, words=5, similarity=0.8)
+    assert sorted(r["text"][:4] for r in by_words.collect()) == ["a", "no i", "same"] and by_words.columns == docs.columns
     assert {1, 2, 9}.isdisjoint({r[0] for r in kept.select("doc_id").collect()})
     assert simhash.near_duplicates(none).count() == 0
 
