@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fluxwell.llm.common import settle
 
@@ -124,20 +125,43 @@ SCHEMAS: Schemas = {
 }
 
 
+def with_turns_before(conversations: DataFrame) -> DataFrame:
+    """Adds ``assistant_before`` and ``user_before``: the last turn of that role before a row's own turn, or null.
+
+    Conversations are sorted into ranges of turns, so that one of any length spreads over many tasks; each range
+    is read in order on its own, and what lies before a range comes from one row for each range.
+    """
+    order = ["conv_id", "turn"]
+    turns = conversations.select("conv_id", F.col("turn").cast("long"), "role", "text")
+    placed = settle(turns.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "turns")
+    own = lambda role: F.max(F.when(F.col("role") == role, F.col("turn")))
+    before = Window.partitionBy("conv_id", "part").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    ends = placed.where("conv_id IS NOT NULL").groupBy("conv_id", "part").agg(own("assistant").alias("a"), own("user").alias("u"))
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("conv_id", "part", F.max("a").over(earlier).alias("a"), F.max("u").over(earlier).alias("u"))
+    here = placed.withColumns({"assistant_before": own("assistant").over(before), "user_before": own("user").over(before)})
+    met = here.join(carried, ["conv_id", "part"], "left")
+    return met.select("conv_id", "turn", "role", "text", F.coalesce("assistant_before", "a").alias("assistant_before"), F.coalesce("user_before", "u").alias("user_before"))
+
+
 def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that a table of plain turns stands for.
 
-    Each assistant turn calls a tool with its whole text, needs the call of the assistant turn before it, and
-    has the next user turn as its result. Short turns ask a lookup without a limit, which the schema wants.
+    Each assistant turn calls a tool with its whole text and needs the call of the assistant turn before it, whatever
+    stands between. A user turn is the result of the last assistant turn before it, unless another user turn came
+    first; so the opening question, after a system turn or none, is no result. Short turns ask a lookup without a
+    limit, which the schema wants. Rows without a conversation or a turn stand for neither.
     """
     words = F.size(F.split(F.coalesce(F.col("text"), F.lit("")), "[ \n]+"))
     name = lambda turn: F.concat_ws("-", "conv_id", turn)
     tool = F.when(words < 30, "lookup").otherwise("search")
     arguments = F.to_json(F.struct(words.alias("words"), F.col("text").alias("query"), (words > 60).alias("strict")))
-    own = conversations.where("role = 'assistant'")
-    calls = own.select("conv_id", "turn", name(F.col("turn")).alias("call_id"), tool.alias("tool"), arguments.alias("arguments"), F.array(name(F.col("turn") - 2)).alias("needs"))
-    results = conversations.where("role = 'user' AND turn > 0").select("conv_id", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    return calls, results
+    turns = settle(with_turns_before(conversations).where("conv_id IS NOT NULL AND turn IS NOT NULL"), "linked-turns")
+    needs = F.when(F.col("assistant_before").isNull(), F.array().cast("array<string>")).otherwise(F.array(name("assistant_before")))
+    own = turns.where("role = 'assistant'")
+    calls = own.select("conv_id", "turn", name("turn").alias("call_id"), tool.alias("tool"), arguments.alias("arguments"), needs.alias("needs"))
+    answers = turns.where("role = 'user' AND assistant_before IS NOT NULL AND (user_before IS NULL OR user_before < assistant_before)")
+    return calls, answers.select("conv_id", name("assistant_before").alias("call_id"), F.col("text").alias("content"))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
