@@ -31,7 +31,7 @@ FOUND = "path string, block long, i long, at long"
 
 
 def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID, folder: str | None = None) -> DataFrame:
-    """Write one flat file of two-byte ids per partition of ``docs`` (``doc_id``, ``text``).
+    """Write one flat file of ids per partition of ``docs`` (``doc_id``, ``text``), of two bytes each where the vocabulary allows.
 
     Returns which document stands where: ``path``, ``ordinal`` in the file, ``doc_id``, and ``n_ids``, the
     ids in the file up to the end of the batch that wrote it. A null text is empty; a null ``doc_id`` stays null.
@@ -39,10 +39,10 @@ def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID,
     spark = docs.sparkSession
     folder = folder or new_path(spark, "flat")
     name = vocabulary or tokens.vocabulary()
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end, kind = np.array([end_id], dtype="<u4").tobytes(), tokens.id_type(name)
 
     def written(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, out, done, size = tokens.encoder(name), None, 0, 0
+        encoder, out, done, size = tokens.encoder(name, plain=True), None, 0, 0
         uri = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         for frame in frames:
             texts = frame["text"].tolist()
@@ -51,7 +51,7 @@ def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID,
                     store, path = fs.FileSystem.from_uri(uri)
                     out = store.open_output_stream(path)
                 for ids in encoder.encode(texts[i:j]):
-                    out.write(np.frombuffer(ids + end, dtype="<u4").astype("<u2").tobytes())
+                    out.write(np.frombuffer(ids + end, dtype="<u4").astype(kind).tobytes())
                     size += len(ids) // 4 + 1
                 yield pd.DataFrame({"path": uri, "ordinal": np.arange(done, done + j - i), "doc_id": frame["doc_id"].iloc[i:j].astype("Int64").to_numpy(), "n_ids": size})
                 done += j - i
@@ -62,20 +62,22 @@ def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = END_ID,
     return settle(docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(written, WRITTEN), "written")
 
 
-def scan(files: DataFrame, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
+def scan(files: DataFrame, end_id: int = END_ID, block: int = BLOCK, kind: str = "<u2") -> DataFrame:
     """Documents of flat files, in order: ``path``, ``ordinal``, ``n_tokens`` (without the end id).
 
-    ``files`` has ``path`` and ``n_ids``. Ids after the last end id belong to no document. A file without ids
+    ``files`` has ``path`` and ``n_ids``; ``kind`` is the type of their ids (``tokens.id_type``). Ids after the last end id belong to no document. A file without ids
     has no documents.
     """
 
+    width = np.dtype(kind).itemsize
+
     def searched(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for path, number, n in zip(frame["path"], frame["block"], frame["n_ids"], strict=True):
                 start = int(number) * block
                 with open_file(path) as file:
-                    file.seek(2 * start)
-                    ids = np.frombuffer(file.read(2 * min(block, int(n) - start)), dtype="<u2")
+                    file.seek(width * start)
+                    ids = np.frombuffer(file.read(width * min(block, int(n) - start)), dtype=kind)
                 ends = np.flatnonzero(ids == end_id)
                 if len(ends):
                     yield pd.DataFrame({"path": path, "block": number, "i": np.arange(len(ends)), "at": start + ends})
@@ -94,4 +96,4 @@ def count_tokens(docs: DataFrame, vocabulary: str | None = None, end_id: int = E
     """``doc_id`` and ``n_tokens`` of every row of ``docs``; more columns are ignored, repeated rows count each."""
     written = write(docs, vocabulary, end_id)
     files = written.groupBy("path").agg(F.max("n_ids").alias("n_ids"))
-    return written.select("path", "ordinal", "doc_id").join(scan(files, end_id), ["path", "ordinal"]).select("doc_id", "n_tokens")
+    return written.select("path", "ordinal", "doc_id").join(scan(files, end_id, kind=tokens.id_type(vocabulary or tokens.vocabulary())), ["path", "ordinal"]).select("doc_id", "n_tokens")

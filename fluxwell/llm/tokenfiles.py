@@ -109,7 +109,8 @@ def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, lengt
     """Encode all of ``docs`` (``doc_id``, ``text``; more columns are ignored) into files in ascending ``doc_id`` order.
 
     Returns the manifest: ``part`` (order of files), ``path``, ``n_docs``, ``n_ids``. A null text is empty and
-    has the end id alone; null ids come first; repeated rows are written each. No rows give an empty manifest.
+    has the end id alone; null ids come first; rows that repeat an id stand in the order of a hash of their text, and
+    one id's rows may fill several files. No rows give an empty manifest.
     A task that runs twice leaves a file that no manifest names.
     """
     spark = docs.sparkSession
@@ -130,7 +131,8 @@ def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, lengt
             yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "path": [uri], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids]})
 
     _make_folder(spark, folder)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text")]
+    rows = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(*order).sortWithinPartitions(*order)
     return settle(rows.mapInPandas(written, MANIFEST), "manifest")
 
 

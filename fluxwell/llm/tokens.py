@@ -4,7 +4,8 @@ The ``tokenizers`` library spends most of its time on bookkeeping per call and o
 before. Byte-level BPE never merges across the pieces of its splitting pattern, so ids of a text are the
 ids of its pieces in a row. Where white space only comes in single characters, a text may be cut before
 each space and each line break. Such words are encoded once per task and kept; the words that a batch of
-texts brings anew are encoded in one call. Other texts go to the library as they are.
+texts brings anew are encoded in one call. Other texts go to the library as they are, and so do texts that hold
+the string of a special token, unless such strings are asked to be plain text.
 """
 
 from __future__ import annotations
@@ -30,14 +31,19 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers; special tokens' strings are plain text."""
+    """Ids of whole texts as little-endian unsigned 32-bit integers, the same as the library's own.
 
-    def __init__(self, path: str):
+    With ``plain`` the strings of special tokens are ordinary text, so that no text encodes to a special id.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
+        added = [] if plain else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         # in a byte-level vocabulary each character of a token's string stands for one byte
         names = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
         self.token_bytes = np.array([len(x) for x in names], dtype=np.int64)
@@ -66,14 +72,14 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, with a null as an empty text."""
         # the line break before the first word is taken off again
-        cut = [("\n" + x.replace("\n", " \n")).split(" ") if x else [] for x in texts]
-        new = set().union(*cut).difference(self.kept)
+        cut = [[] if not x else None if self.special.search(x) else ("\n" + x.replace("\n", " \n")).split(" ") for x in texts]
+        new = set().union(*(x for x in cut if x)).difference(self.kept)
         if new:
             self._keep(new)
         get, out = self.kept.__getitem__, []
         for text, words in zip(texts, cut, strict=True):
             try:
-                out.append(b"".join(map(get, words))[self.line_break :])
+                out.append(b"".join(map(get, words))[self.line_break :])  # no words, or a word without ids: encode it all
             except TypeError:
                 out.append(self._whole(text))
         if len(self.kept) > KEPT_WORDS:
@@ -82,9 +88,14 @@ class Encoder:
 
 
 @cache
-def encoder(path: str) -> Encoder:
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The encoder of this process for a vocabulary file."""
-    return Encoder(path)
+    return Encoder(path, plain)
+
+
+def id_type(path: str) -> str:
+    """The smallest unsigned type that holds every id of a vocabulary."""
+    return "<u2" if encoder(path).tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
 def batches(texts: list[str | None], most_chars: int = 2_000_000) -> Iterable[tuple[int, int]]:
