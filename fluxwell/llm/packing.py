@@ -3,7 +3,8 @@
 Bulk-synchronous rounds: documents that fit no gap open sequences; documents and gaps are sorted together
 into ranges of sizes; each range is swept from large to small, and a document takes the smallest gap that
 holds it; what a range leaves over is matched with gaps of larger ranges by rank; gaps shrink, and the next
-round begins. A round moves a few numbers per document, never token ids.
+round begins. A round moves a few numbers per document, never token ids. Rounds are the same at every size; a
+small table is one range.
 """
 
 from __future__ import annotations
@@ -65,12 +66,10 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(pieces, PIECES_WITH_IDS if with_ids else PIECES)
 
 
-def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int, opens: bool = False) -> tuple[list, list, list]:
+def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int) -> tuple[list, list, list]:
     """Best fit over one range, sorted from large to small with gaps (0) before documents (1) of their size.
 
-    A document without a gap is left over, or opens a sequence where ``opens`` says so.
-
-    Returns placements (document, sequence, offset), gaps left (sequence, size) from small to large, and
+    A document without a gap is left over. Returns placements (document, sequence, offset), gaps left (sequence, size) from small to large, and
     documents left (document, size) from large to small.
     """
     free: dict[int, list[int]] = {}
@@ -85,8 +84,6 @@ def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int, ope
                 target = bins.pop()
                 if not bins:
                     del free[gap], order[at]
-            elif opens:
-                gap, target = capacity, item
             else:
                 left.append((item, size))
                 continue
@@ -102,7 +99,7 @@ def sweep(sizes: list[int], kinds: list[int], ids: list[int], capacity: int, ope
 
 
 def _sweep_ranges(items: DataFrame, parts: int, capacity: int) -> DataFrame:
-    """Sort documents and gaps into ranges and sweep each range on its own; the only range left opens sequences."""
+    """Sort documents and gaps into ranges and sweep each range on its own."""
 
     def swept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames), ignore_index=True)
@@ -110,7 +107,7 @@ def _sweep_ranges(items: DataFrame, parts: int, capacity: int) -> DataFrame:
             return
         part = TaskContext.get().partitionId()
         sizes = rows["size"].tolist()
-        placed, gaps, left = sweep(sizes, rows["kind"].tolist(), rows["id"].tolist(), capacity, parts == 1)
+        placed, gaps, left = sweep(sizes, rows["kind"].tolist(), rows["id"].tolist(), capacity)
         # a gap that has shrunk below this range may be too small for documents of the next ones
         ready = iter(range(len(gaps)))
         out = [(part, -1, "placed", d, 0, at, b) for d, b, at in placed]
@@ -119,8 +116,7 @@ def _sweep_ranges(items: DataFrame, parts: int, capacity: int) -> DataFrame:
         yield pd.DataFrame(out, columns=["part", "rank", "kind", "id", "size", "offset", "bin"])
 
     order = [F.desc("size"), F.col("kind"), F.xxhash64("id")]
-    ranges = items.coalesce(1) if parts == 1 else items.repartitionByRange(parts, *order)
-    return ranges.sortWithinPartitions(*order).mapInPandas(swept, SWEPT)
+    return items.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(swept, SWEPT)
 
 
 def match_ranks(docs: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int, int]]:
@@ -194,6 +190,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed: list[DataFrame] = [pieces.where(F.col("length") >= capacity).select(F.col("piece_id").alias("id"), F.col("piece_id").alias("bin"), F.lit(0).cast("long").alias("offset"))]
     docs = pieces.where(F.col("length") < capacity).select(F.col("piece_id").alias("id"), F.col("length").alias("size"))
     gaps = spark.createDataFrame([], "id long, size long")
+    left_now = None
     for turn in count():
         state = docs.select(F.lit(1).alias("kind"), "size").union(gaps.select(F.lit(0), "size"))
         counts = {(r["kind"], r["size"]): r["n"] for r in state.groupBy("kind", "size").agg(F.count("*").alias("n")).collect()}
@@ -204,7 +201,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         room = {g: n for g, n in room.items() if g >= min(lengths)}
         gaps = gaps.where(F.col("size") >= min(lengths))
         parts = max(1, ceil((sum(lengths.values()) + sum(room.values())) / SWEEP_ROWS))
-        shares = opening(lengths, room, capacity) if parts > 1 else {}
+        shares = opening(lengths, room, capacity)
+        left_before, left_now = left_now, sum(lengths.values())
+        if left_now == left_before and shares:
+            # chance opened no sequence and no gap took a document: the longest ones that need a sequence open one each
+            shares[max(shares)] = 1.0
         if shares:
             lot = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(1_000_003)) / F.lit(1_000_003.0)
             share = F.element_at(F.create_map(*(F.lit(x) for n, x in shares.items() for x in (int(n), float(x)))), F.col("size").cast("int"))
