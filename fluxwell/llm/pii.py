@@ -261,20 +261,15 @@ def _logit(x: float) -> float:
 def select(candidates: DataFrame, model: tuple[list[Tree], float, float]) -> DataFrame:
     """Base spans, and those that the trees add: ``row``, ``kind``, ``start``, ``end``, ``base``.
 
-    An added span overlaps no base span, and of added spans that overlap the one that starts first stays.
+    Added spans may overlap base spans and each other, so that all of a secret is covered whatever else it holds; one
+    that lies within another span that was found adds nothing and is left out, of equal ones all but the first.
     """
     trees, start, threshold = model
     scored = candidates.select("row", "gen", "start", "end", "base", *(x.alias(k) for k, x in features().items() if k != "gen"))
     chosen = scored.withColumn("chosen", F.col("base") | (probability(trees, start) >= threshold)).where("chosen").select("row", "gen", "start", "end", "base")
-    order = Window.partitionBy("row").orderBy("start", F.desc("base"), F.desc("end"), "gen")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
-    ends, starts = F.when(F.col("base"), F.col("end")), F.when(F.col("base"), F.col("start"))
-    free = chosen.withColumn("left", F.max(ends).over(before)).withColumn("right", F.min(starts).over(after))
-    free = free.where("base OR ((left IS NULL OR left <= start) AND (right IS NULL OR right >= end))")
-    # a chain of overlapping added spans keeps its first
-    reached = F.max(F.when(~F.col("base"), F.col("end"))).over(before)
-    free = free.withColumn("reached", reached).where("base OR reached IS NULL OR reached <= start")
+    order = Window.partitionBy("row").orderBy("start", F.desc("end"), F.desc("base"), "gen")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    free = chosen.withColumn("reached", reached).where("base OR reached IS NULL OR reached < end")
     kind = F.element_at(F.array(*map(F.lit, GENERATORS)), F.col("gen") + 1)
     return free.select("row", "gen", kind.alias("kind"), "start", "end", "base")
 
