@@ -8,6 +8,7 @@ needs one sum per domain over all documents; rates are an expression over poster
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 from math import log, sqrt
 
@@ -113,7 +114,8 @@ def fit(members: DataFrame, weights: list[float], total: float | None = None) ->
 
     Minimises the squared relative misses of the domains' token totals; distances between rates are weighed by
     tokens, so that rates depend on posteriors and not on length. Without ``total`` it is the smallest at which
-    no domain has to lose tokens, so that nothing is thrown away.
+    no domain has to lose tokens, so that nothing is thrown away. Stops when each total is within ``CLOSE`` of its
+    target, and warns where ``STEPS`` steps don't get there, as with targets that no rates can meet.
     """
     k = len(weights)
     have = [F.sum(F.col("n_tokens") * F.get("p", i)) for i in range(k)]
@@ -127,9 +129,13 @@ def fit(members: DataFrame, weights: list[float], total: float | None = None) ->
     # no step larger than the inverse of the largest sum of a row, a bound of the largest eigenvalue
     size = 1 / max([sum(abs(gram[i][j]) / (scale[i] * scale[j]) for j in range(k)) for i in range(k)] + [1e-12])
     steps: list[list[float]] = []
-    while len(steps) < STEPS:
+    while True:
         misses = [s - t for s, t in zip(sums, targets, strict=True)]
-        if all(abs(m) <= CLOSE * max(t, total / 1000, 1) for m, t in zip(misses, targets, strict=True)):
+        far = max((abs(m) / max(t, total / 1000, 1) for m, t in zip(misses, targets, strict=True)), default=0.0)
+        if far <= CLOSE:
+            break
+        if len(steps) == STEPS:
+            warnings.warn(f"after {STEPS} steps a domain's tokens miss their target by {far:.2%}", RuntimeWarning, stacklevel=2)
             break
         steps.append([size * m / scale[i] ** 2 for i, m in enumerate(misses)])
         x = members.select("n_tokens", "p", rate(F.col("p"), steps).alias("x"))
