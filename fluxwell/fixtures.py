@@ -1,7 +1,8 @@
 """Telemetry, payload and metric-sample tables derived from the ``events`` test table.
 
 Deterministic, no randomness: the same rows come out of any engine. Thirty days of events
-are compressed into one day, and every twentieth event is broken in one of eight ways.
+are compressed into one day. Every twentieth event is broken, in one of 32 ways by turns, so that each rule of the
+standard profile but that of a null message fails somewhere; four more events in 640 only break rules of the strict one.
 """
 
 from __future__ import annotations
@@ -62,7 +63,7 @@ def telemetry(source: DataFrame, since=None) -> DataFrame:
         "event_time",
     )
     fields = [
-        "'pump_id', CASE WHEN e % 160 <> 60 THEN concat('PUMP_', lpad(CAST(u AS STRING), 3, '0')) END",
+        f"'pump_id', {_PUMP_ID}",
         f"'timestamp', {_TIMESTAMP}",
     ]
     for section, names in SECTIONS.items():
@@ -71,39 +72,47 @@ def telemetry(source: DataFrame, since=None) -> DataFrame:
         if section in _PRESENT:
             body = f"CASE WHEN {_PRESENT[section]} THEN {body} END"
         fields.append(f"'{section}', {body}")
-    return b.selectExpr("event_time", f"named_struct({', '.join(fields)}) AS msg", "e % 160 <> 140 AS parse_ok")
+    return b.selectExpr("event_time", f"named_struct({', '.join(fields)}) AS msg", "e % 640 <> 140 AS parse_ok")
 
 
 _TIME_US = f"{_BASE} + (unix_micros(CAST(ts AS TIMESTAMP)) - {_BASE}) div {_COMPRESSION}"
 
 # --- Fixed values: the derived message ------------------------------------------------------
-_TIMESTAMP = """CASE e % 160 WHEN 100 THEN '2024-01-02T00:10:00.000000Z' WHEN 120 THEN 'not-a-date'
+_PUMP_ID = """CASE e % 640 WHEN 60 THEN NULL WHEN 160 THEN '  ' WHEN 7 THEN concat('pump-', u)
+  ELSE concat('PUMP_', lpad(CAST(u AS STRING), 3, '0')) END"""
+_TIMESTAMP = """CASE e % 640 WHEN 100 THEN '2024-01-02T00:10:00.000000Z' WHEN 120 THEN 'not-a-date' WHEN 180 THEN NULL WHEN 200 THEN ''
   ELSE date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") END"""
 _LEAVES = {
-    "location.latitude": "CASE u % 3 WHEN 0 THEN 51.25D WHEN 1 THEN 47.5D ELSE 44.75D END",
-    "location.longitude": "CASE u % 3 WHEN 0 THEN 6.5D WHEN 1 THEN 8.25D ELSE 11.0D END",
+    "location.latitude": "CASE WHEN e % 640 = 27 THEN 95.5D ELSE CASE u % 3 WHEN 0 THEN 51.25D WHEN 1 THEN 47.5D ELSE 44.75D END END",
+    "location.longitude": "CASE WHEN e % 640 = 37 THEN -181.0D ELSE CASE u % 3 WHEN 0 THEN 6.5D WHEN 1 THEN 8.25D ELSE 11.0D END END",
     "location.region": "CASE u % 3 WHEN 0 THEN 'Polder' WHEN 1 THEN 'Foothill' ELSE 'Lagoon' END",
-    "solar_panel.irradiance_w_m2": "k * 11.0D",
-    "solar_panel.voltage_v": "48.0D",
-    "solar_panel.current_a": "v / 12.5D",
-    "solar_panel.power_w": "v * 8.0D",
-    "solar_panel.temperature_c": "20 + k % 40",
-    "pump.motor_voltage_v": "46.0D",
-    "pump.motor_current_a": "k % 25",
-    "pump.rpm": "CASE WHEN e % 160 = 20 THEN -100 ELSE k * 30 END",
-    "pump.flow_rate_lpm": "CASE WHEN e % 160 = 0 THEN -1.0D - v ELSE v END",
-    "pump.discharge_pressure_bar": "k % 5",
-    "pump.suction_pressure_bar": "0.25D",
-    "pump.water_temperature_c": "18 + k % 10",
-    "system.operating_hours": "1000 + e % 4000",
-    "system.vibration_mm_s": "(e % 40) / 8.0D",
+    "solar_panel.irradiance_w_m2": "CASE WHEN e % 640 = 280 THEN 1500.5D ELSE k * 11.0D END",
+    "solar_panel.voltage_v": "CASE e % 640 WHEN 300 THEN 100.25D WHEN 580 THEN -0.25D ELSE 48.0D END",
+    "solar_panel.current_a": "CASE WHEN e % 640 = 320 THEN 30.5D ELSE v / 12.5D END",
+    "solar_panel.power_w": "CASE WHEN e % 640 = 340 THEN 3000.5D ELSE v * 8.0D END",
+    "solar_panel.temperature_c": "CASE e % 640 WHEN 360 THEN -40.5D WHEN 600 THEN 90.5D ELSE 20 + k % 40 END",
+    "pump.motor_voltage_v": "CASE WHEN e % 640 = 380 THEN -0.5D ELSE 46.0D END",
+    "pump.motor_current_a": "CASE WHEN e % 640 = 400 THEN 30.5D ELSE k % 25 END",
+    "pump.rpm": "CASE e % 640 WHEN 20 THEN -100 WHEN 420 THEN 5001 ELSE k * 30 END",
+    "pump.flow_rate_lpm": "CASE WHEN e % 640 = 0 THEN -1.0D - v ELSE v END",
+    "pump.discharge_pressure_bar": "CASE WHEN e % 640 = 440 THEN 20.5D ELSE k % 5 END",
+    "pump.suction_pressure_bar": "CASE WHEN e % 640 = 460 THEN 20.25D ELSE 0.25D END",
+    "pump.water_temperature_c": "CASE WHEN e % 640 = 480 THEN 80.5D ELSE 18 + k % 10 END",
+    "system.operating_hours": "CASE WHEN e % 640 = 500 THEN 100000.5D ELSE 1000 + e % 4000 END",
+    "system.vibration_mm_s": "CASE WHEN e % 640 = 520 THEN 50.5D ELSE (e % 40) / 8.0D END",
     "system.error_code": "CASE WHEN et = 'error' THEN 301 + 7 * (e % 3) ELSE 0 END",
-    "system.status": """CASE WHEN e % 160 = 80 THEN '  ' WHEN et <> 'error' THEN 'OPERATIONAL'
+    "system.status": """CASE WHEN e % 640 = 80 THEN '  ' WHEN e % 640 = 260 THEN NULL WHEN e % 640 = 17 THEN 'IDLE' WHEN et <> 'error' THEN 'OPERATIONAL'
       WHEN e % 3 = 0 THEN 'FAULTED' WHEN e % 3 = 1 THEN 'ALERT' ELSE 'DEGRADED' END""",
-    "environment.ambient_temperature_c": "25 + k % 10",
-    "environment.humidity_percent": "k % 100",
+    "environment.ambient_temperature_c": "CASE e % 640 WHEN 540 THEN -40.5D WHEN 620 THEN 60.5D ELSE 25 + k % 10 END",
+    "environment.humidity_percent": "CASE WHEN e % 640 = 560 THEN 100.5D ELSE k % 100 END",
+}
+_PRESENT = {
+    "location": "e % 11 <> 5",
+    "solar_panel": "e % 640 <> 220",
+    "pump": "e % 640 <> 40",
+    "system": "e % 640 <> 240",
+    "environment": "e % 7 <> 3 OR e % 640 IN (540, 560, 620)",
 }
-_PRESENT = {"location": "e % 11 <> 5", "pump": "e % 160 <> 40", "environment": "e % 7 <> 3"}
 # A document that should not parse loses its last brace.
 _CUT = "left({json}, length({json}) - 1)"
 

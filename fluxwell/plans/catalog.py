@@ -80,6 +80,16 @@ def validate_strict_counts(spark, sf_dir):
     return _verdicts(_judged(spark, sf_dir, profile="strict"))
 
 
+def dead_reasons(spark, sf_dir):
+    """Every reason there is, for both profiles, so that each rule is seen to fire."""
+    out = None
+    for profile in ("standard", "strict"):
+        dead = route.dlq(_judged(spark, sf_dir, profile=profile), F.col("event_time"))
+        one = dead.groupBy(F.lit(profile).alias("profile"), "error_type", "error_reason").agg(F.count(F.lit(1)).alias("n"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 #: Rules of a user: the first can't be decided where the motor stands still, the second where there is no environment.
 EXTRA_RULES = (
     Rule(RANGE, "try_divide(msg.pump.flow_rate_lpm, msg.pump.rpm) > 10", "concat('flow per turn of ', msg.pump_id)", "flow per turn"),
@@ -506,7 +516,7 @@ def b_reduce_sum(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     named = [
-        validate_counts, validate_strict_counts, validate_extra_rules, parse_counts,
+        validate_counts, validate_strict_counts, validate_extra_rules, dead_reasons, parse_counts,
         raw_telemetry, raw_telemetry_json, dlq_records, dlq_records_json,
         landed_outcomes, valid_json, dlq_json, pipeline_counters,
         agg_1m, agg_5m, aggregated_metrics, agg_custom, agg_quantiles,

@@ -22,40 +22,48 @@ b AS (
   FROM events),
 m AS (
   SELECT e, event_time,
-    CASE WHEN e % 160 = 60 THEN NULL ELSE concat('PUMP_', lpad(CAST(u AS VARCHAR), 3, '0')) END AS pump_id,
-    CASE WHEN e % 160 = 100 THEN '2024-01-02T00:10:00.000000Z' WHEN e % 160 = 120 THEN 'not-a-date'
+    CASE WHEN e % 640 = 60 THEN NULL WHEN e % 640 = 160 THEN '  ' WHEN e % 640 = 7 THEN concat('pump-', u)
+         ELSE concat('PUMP_', lpad(CAST(u AS VARCHAR), 3, '0')) END AS pump_id,
+    CASE WHEN e % 640 = 100 THEN '2024-01-02T00:10:00.000000Z' WHEN e % 640 = 120 THEN 'not-a-date'
+         WHEN e % 640 = 180 THEN NULL WHEN e % 640 = 200 THEN ''
          ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') END AS ts_text,
-    CAST(CASE u % 3 WHEN 0 THEN 51.25 WHEN 1 THEN 47.5 ELSE 44.75 END AS DOUBLE) AS latitude,
-    CAST(CASE u % 3 WHEN 0 THEN 6.5 WHEN 1 THEN 8.25 ELSE 11.0 END AS DOUBLE) AS longitude,
+    CAST(CASE WHEN e % 640 = 27 THEN 95.5 WHEN u % 3 = 0 THEN 51.25 WHEN u % 3 = 1 THEN 47.5 ELSE 44.75 END AS DOUBLE) AS latitude,
+    CAST(CASE WHEN e % 640 = 37 THEN -181.0 WHEN u % 3 = 0 THEN 6.5 WHEN u % 3 = 1 THEN 8.25 ELSE 11.0 END AS DOUBLE) AS longitude,
     CASE u % 3 WHEN 0 THEN 'Polder' WHEN 1 THEN 'Foothill' ELSE 'Lagoon' END AS region,
-    k * CAST(11.0 AS DOUBLE) AS irradiance_w_m2, CAST(48.0 AS DOUBLE) AS solar_voltage_v,
-    v / CAST(12.5 AS DOUBLE) AS solar_current_a, v * CAST(8.0 AS DOUBLE) AS solar_power_w,
-    CAST(20 + k % 40 AS DOUBLE) AS solar_temperature_c,
-    CAST(46.0 AS DOUBLE) AS motor_voltage_v, CAST(k % 25 AS DOUBLE) AS motor_current_a,
-    CAST(CASE WHEN e % 160 = 20 THEN -100 ELSE k * 30 END AS INT) AS rpm,
-    CASE WHEN e % 160 = 0 THEN CAST(-1.0 AS DOUBLE) - v ELSE v END AS flow_rate_lpm,
-    CAST(k % 5 AS DOUBLE) AS discharge_pressure_bar, CAST(0.25 AS DOUBLE) AS suction_pressure_bar,
-    CAST(18 + k % 10 AS DOUBLE) AS water_temperature_c,
-    CAST(1000 + e % 4000 AS DOUBLE) AS operating_hours, CAST(e % 40 AS DOUBLE) / CAST(8.0 AS DOUBLE) AS vibration_mm_s,
+    CAST(if(e % 640 = 280, 1500.5, k * CAST(11.0 AS DOUBLE)) AS DOUBLE) AS irradiance_w_m2,
+    CAST(CASE e % 640 WHEN 300 THEN 100.25 WHEN 580 THEN -0.25 ELSE 48.0 END AS DOUBLE) AS solar_voltage_v,
+    CAST(if(e % 640 = 320, 30.5, v / CAST(12.5 AS DOUBLE)) AS DOUBLE) AS solar_current_a,
+    CAST(if(e % 640 = 340, 3000.5, v * CAST(8.0 AS DOUBLE)) AS DOUBLE) AS solar_power_w,
+    CAST(CASE e % 640 WHEN 360 THEN -40.5 WHEN 600 THEN 90.5 ELSE 20 + k % 40 END AS DOUBLE) AS solar_temperature_c,
+    CAST(if(e % 640 = 380, -0.5, 46.0) AS DOUBLE) AS motor_voltage_v, CAST(if(e % 640 = 400, 30.5, k % 25) AS DOUBLE) AS motor_current_a,
+    CAST(CASE e % 640 WHEN 20 THEN -100 WHEN 420 THEN 5001 ELSE k * 30 END AS INT) AS rpm,
+    CASE WHEN e % 640 = 0 THEN CAST(-1.0 AS DOUBLE) - v ELSE v END AS flow_rate_lpm,
+    CAST(if(e % 640 = 440, 20.5, k % 5) AS DOUBLE) AS discharge_pressure_bar, CAST(if(e % 640 = 460, 20.25, 0.25) AS DOUBLE) AS suction_pressure_bar,
+    CAST(if(e % 640 = 480, 80.5, 18 + k % 10) AS DOUBLE) AS water_temperature_c,
+    CAST(if(e % 640 = 500, 100000.5, 1000 + e % 4000) AS DOUBLE) AS operating_hours,
+    CAST(if(e % 640 = 520, 50.5, CAST(e % 40 AS DOUBLE) / CAST(8.0 AS DOUBLE)) AS DOUBLE) AS vibration_mm_s,
     CAST(CASE WHEN et = 'error' THEN 301 + 7 * (e % 3) ELSE 0 END AS INT) AS error_code,
-    CASE WHEN e % 160 = 80 THEN '  ' WHEN et <> 'error' THEN 'OPERATIONAL'
+    CASE WHEN e % 640 = 80 THEN '  ' WHEN e % 640 = 260 THEN NULL WHEN e % 640 = 17 THEN 'IDLE' WHEN et <> 'error' THEN 'OPERATIONAL'
          WHEN e % 3 = 0 THEN 'FAULTED' WHEN e % 3 = 1 THEN 'ALERT' ELSE 'DEGRADED' END AS status,
-    CAST(25 + k % 10 AS DOUBLE) AS ambient_temperature_c, CAST(k % 100 AS DOUBLE) AS humidity_percent,
-    e % 160 <> 40 AS has_pump, e % 7 <> 3 AS has_environment, e % 11 <> 5 AS has_location, e % 160 <> 140 AS parse_ok
+    CAST(CASE e % 640 WHEN 540 THEN -40.5 WHEN 620 THEN 60.5 ELSE 25 + k % 10 END AS DOUBLE) AS ambient_temperature_c,
+    CAST(if(e % 640 = 560, 100.5, k % 100) AS DOUBLE) AS humidity_percent,
+    e % 640 <> 40 AS has_pump, e % 640 <> 220 AS has_solar, e % 640 <> 240 AS has_system,
+    e % 7 <> 3 OR e % 640 IN (540, 560, 620) AS has_environment, e % 11 <> 5 AS has_location, e % 640 <> 140 AS parse_ok
   FROM b),
 p AS (
   SELECT *, concat(
     '{"pump_id":', CASE WHEN pump_id IS NULL THEN 'null' ELSE concat('"', pump_id, '"') END,
-    ',"timestamp":"', ts_text, '","location":',
+    ',"timestamp":', CASE WHEN ts_text IS NULL THEN 'null' ELSE concat('"', ts_text, '"') END, ',"location":',
     CASE WHEN has_location THEN concat('{"latitude":', latitude, ',"longitude":', longitude, ',"region":"', region, '"}') ELSE 'null' END,
-    ',"solar_panel":{"irradiance_w_m2":', irradiance_w_m2, ',"voltage_v":', solar_voltage_v,
+    ',"solar_panel":', CASE WHEN has_solar THEN concat('{"irradiance_w_m2":', irradiance_w_m2, ',"voltage_v":', solar_voltage_v,
     ',"current_a":', CASE WHEN solar_current_a = 0.0008 THEN '8.0E-4' ELSE CAST(solar_current_a AS VARCHAR) END,
-    ',"power_w":', solar_power_w, ',"temperature_c":', solar_temperature_c, '},"pump":',
+    ',"power_w":', solar_power_w, ',"temperature_c":', solar_temperature_c, '}') ELSE 'null' END, ',"pump":',
     CASE WHEN has_pump THEN concat('{"motor_voltage_v":', motor_voltage_v, ',"motor_current_a":', motor_current_a,
       ',"rpm":', rpm, ',"flow_rate_lpm":', flow_rate_lpm, ',"discharge_pressure_bar":', discharge_pressure_bar,
       ',"suction_pressure_bar":', suction_pressure_bar, ',"water_temperature_c":', water_temperature_c, '}') ELSE 'null' END,
-    ',"system":{"operating_hours":', operating_hours, ',"vibration_mm_s":', vibration_mm_s,
-    ',"error_code":', error_code, ',"status":"', status, '"},"environment":',
+    ',"system":', CASE WHEN has_system THEN concat('{"operating_hours":', operating_hours, ',"vibration_mm_s":', vibration_mm_s,
+    ',"error_code":', error_code, ',"status":', CASE WHEN status IS NULL THEN 'null' ELSE concat('"', status, '"') END, '}') ELSE 'null' END,
+    ',"environment":',
     CASE WHEN has_environment THEN concat('{"ambient_temperature_c":', ambient_temperature_c,
       ',"humidity_percent":', humidity_percent, '}') ELSE 'null' END, '}') AS message
   FROM m),
@@ -76,19 +84,28 @@ _RANGES = [
     ("pump.water_temperature_c", "water_temperature_c", 0.0, 80.0),
     ("system.vibration_mm_s", "vibration_mm_s", 0.0, 50.0),
     ("system.operating_hours", "operating_hours", 0.0, 100000.0),
+    ("environment.ambient_temperature_c", "ambient_temperature_c", -40.0, 60.0),
+    ("environment.humidity_percent", "humidity_percent", 0.0, 100.0),
 ]
+_STRICT = [("location.latitude", "latitude", -90.0, 90.0), ("location.longitude", "longitude", -180.0, 180.0)]
 
 
 def _judged(strict: bool = False) -> str:
-    """CTEs up to ``j``: verdict of every row. Environment is always within bounds here."""
+    """CTEs up to ``j``: verdict of every row."""
     cases = [
         ("NOT parse_ok", "DESERIALIZATION_ERROR", "'JSON parse error: malformed document'"),
-        ("pump_id IS NULL", "SCHEMA", "'pump_id is required'"),
+        ("coalesce(trim(pump_id), '') = ''", "SCHEMA", "'pump_id is required'"),
+        ("coalesce(trim(ts_text), '') = ''", "SCHEMA", "'timestamp is required'"),
+        ("NOT has_solar", "SCHEMA", "'solar_panel is required'"),
         ("NOT has_pump", "SCHEMA", "'pump is required'"),
-        ("trim(status) = ''", "SCHEMA", "'system.status is required'"),
+        ("NOT has_system", "SCHEMA", "'system is required'"),
+        ("coalesce(trim(status), '') = ''", "SCHEMA", "'system.status is required'"),
     ]
     if strict:
+        naming = "concat('pump_id does not follow the naming convention: ', pump_id)"
+        cases.append(("NOT regexp_full_match(pump_id, 'PUMP_[0-9]{3,}')", "SCHEMA", naming))
         cases.append(("NOT has_location", "SCHEMA", "'location is required'"))
+        cases.append(("status = 'IDLE'", "SCHEMA", "concat('unknown system.status: ', status)"))
     cases += [
         ("ts_text = 'not-a-date'", "TIMESTAMP", "concat('Invalid ISO8601 timestamp: ', ts_text)"),
         (
@@ -97,10 +114,12 @@ def _judged(strict: bool = False) -> str:
             "concat('Timestamp is in the future: ', ts_text)",
         ),
     ]
-    for path, column, low, high in _RANGES:
+    for path, column, low, high in _RANGES + (_STRICT if strict else []):
+        section = path.split(".")[0]
+        there = f"has_{section} AND " if section in ("environment", "location") else ""
         cases.append(
             (
-                f"({column} < {low} OR {column} > {high})",
+                f"({there}({column} < {low} OR {column} > {high}))",
                 "RANGE",
                 f"concat('{path}=', {column}, ' out of range [{low}, {high}]')",
             )
@@ -272,6 +291,11 @@ def oracle_sql() -> dict[str, str]:
                 count(*) FILTER (WHERE coalesce(epoch_us(window_start) + 300000000 > mark, true)) AS stream_count
               FROM l GROUP BY ALL)
             SELECT *, record_count - stream_count AS late_count FROM c WHERE stream_count < record_count""",
+        "dead_reasons": " UNION ALL ".join(
+            f"""SELECT * FROM ({_judged(strict)} SELECT '{profile}' AS profile, error_type, error_reason, count(*) AS n
+              FROM j WHERE error_type IS NOT NULL GROUP BY ALL)"""
+            for profile, strict in (("standard", False), ("strict", True))
+        ),
         "validate_extra_rules": f"""{_judged()}, x AS (
               SELECT *, CASE WHEN error_type IS NOT NULL THEN error_type
                 WHEN rpm <> 0 AND flow_rate_lpm / rpm > 10 THEN 'RANGE' WHEN rpm = 0 THEN 'PROCESSING_ERROR'

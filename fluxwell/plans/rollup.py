@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from fluxwell.functions.instants import as_timestamp
 from fluxwell.plans import analytics, quality
-from fluxwell.sources.tables import load, time_range
+from fluxwell.schema import VALID
+from fluxwell.sources.tables import files_of, load, time_range
 
 KEY = ["pump_id", "region", "status", "error_code"]
 ROLLUP = "pump_id string, region string, status string, error_code int, n bigint, time timestamp, date date"
@@ -27,10 +28,10 @@ def rollup(raw: DataFrame) -> DataFrame:
 
 def stale_days(spark: SparkSession, landed: str, path: str) -> list:
     """Days whose landed files are newer than their rollup. Only file listings are read, a row per file."""
-    changed = lambda table: table.groupBy("date").agg(F.max("_metadata.file_modification_time").alias("at"))
-    new = changed(load(spark, landed).raw.select("date", "_metadata"))
+    changed = lambda files: files.groupBy("date").agg(F.max("modificationTime").alias("at"))
+    new = changed(files_of(spark, landed).where(F.col("outcome") == VALID))
     try:
-        known = changed(spark.read.schema(ROLLUP).parquet(path).select("date", "_metadata"))
+        known = changed(files_of(spark, path))
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise

@@ -67,6 +67,14 @@ def load(
     return out
 
 
+def files_of(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data file of a partitioned table: its partitions, ``path``, ``modificationTime``, ``length``.
+
+    Only listings are read. Of a folder that a stream writes, committed files count.
+    """
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).drop("content")
+
+
 def load_jdbc(spark: SparkSession, url: str, table: str, split: tuple | None = None, **options: str) -> DataFrame:
     """A table kept in a relational store, read in parallel when ``split`` is given.
 

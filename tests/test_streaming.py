@@ -117,7 +117,7 @@ def test_listener_counts(finished):
             break
         time.sleep(0.1)
     assert listener.totals["records_valid"] == 950
-    assert listener.totals["records_processed"] == 994
+    assert listener.totals["records_processed"] == 998
 
 
 def test_restart_continues_from_checkpoint(spark, finished):

@@ -127,3 +127,24 @@ def test_parsed_time(spark):
     frame = spark.createDataFrame([Row(t=t) for t in texts])
     got = frame.select("t", parse_instant("t").cast("string").alias("x")).collect()
     assert {r["t"]: r["x"] for r in got} == texts
+
+
+def test_undecidable_extra_rules_are_processing_errors(spark):
+    named = Rule("RANGE", "try_divide(msg.pump.flow_rate_lpm, msg.pump.rpm) > 5", "'flow per turn'", "flow per turn")
+    unnamed = Rule("SCHEMA", "msg.environment.humidity_percent > 90", "'too humid'")
+    cases = {
+        "ok": {},
+        "stands still": {"pump.rpm": 0},
+        "broken": {"pump.rpm": 1, "pump.flow_rate_lpm": 50.0},
+        "no environment": {"environment": None},
+        "humid": {"environment.humidity_percent": 95.0},
+        "no pump": {"pump": None},
+    }
+    assert judge(spark, cases, extra=(named, unnamed)) == {
+        "ok": None,
+        "stands still": ("PROCESSING_ERROR", "Unexpected processing error: undecidable flow per turn"),
+        "broken": ("RANGE", "flow per turn"),
+        "no environment": ("PROCESSING_ERROR", "Unexpected processing error: undecidable extra rule 2"),
+        "humid": ("SCHEMA", "too humid"),
+        "no pump": ("SCHEMA", "pump is required"),
+    }
