@@ -17,7 +17,7 @@ from fluxwell.schema import VALID
 from fluxwell.sources.tables import files_of, load, time_range
 
 KEY = ["pump_id", "region", "status", "error_code"]
-ROLLUP = "pump_id string, region string, status string, error_code int, n bigint, time timestamp, date date"
+ROLLUP = "pump_id string, region string, status string, error_code int, n bigint, time timestamp, covered timestamp, date date"
 
 
 def rollup(raw: DataFrame) -> DataFrame:
@@ -26,31 +26,35 @@ def rollup(raw: DataFrame) -> DataFrame:
     return dated.groupBy("date", *KEY).agg(F.count(F.lit(1)).alias("n"), F.max("time").alias("time"))
 
 
-def stale_days(spark: SparkSession, landed: str, path: str) -> list:
-    """Days whose landed files are newer than their rollup. Only file listings are read, a row per file."""
-    changed = lambda files: files.groupBy("date").agg(F.max("modificationTime").alias("at"))
-    new = changed(files_of(spark, landed).where(F.col("outcome") == VALID))
+def stale_days(spark: SparkSession, landed: str, path: str) -> dict:
+    """Days with landed files that their rollup does not cover, each with the time of its newest file.
+
+    Reads the listing of the landed files and one column of the rollup; a row per day reaches the driver.
+    """
+    new = files_of(spark, landed).where(F.col("outcome") == VALID).groupBy("date").agg(F.max("modificationTime").alias("at"))
     try:
-        known = changed(files_of(spark, path))
+        known = spark.read.schema(ROLLUP).parquet(path).groupBy("date").agg(F.max("covered").alias("covered"))
+        new = new.join(known, "date", "left").where("covered IS NULL OR covered < at")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        return sorted(r["date"] for r in new.collect())
-    met = new.join(known.withColumnRenamed("at", "built"), "date", "left")
-    return sorted(r["date"] for r in met.where("built IS NULL OR built <= at").select("date").collect())
+    return {r["date"]: r["at"] for r in new.collect()}
 
 
-def build(spark: SparkSession, landed: str, path: str, days: list | None = None) -> list:
-    """Bring the rollup up to date: the given days, or those that changed since. Returns the days built.
+def build(spark: SparkSession, landed: str, path: str) -> list:
+    """Bring the rollup up to date for the days that changed. Returns the days built.
 
-    Other days are neither read nor written. Running it twice, or again after a failure, gives the same rows.
+    Other days are neither read nor written. Files are listed before they are read, so what lands in between makes
+    its day stale again at worst. Running it twice, or again after a failure, gives the same rows.
     """
-    days = stale_days(spark, landed, path) if days is None else sorted(days)
+    days = stale_days(spark, landed, path)
     if days:
         raw = load(spark, landed).raw.where(F.col("date").isin(*days))
-        rows = rollup(raw).hint("rebalance", "date").sortWithinPartitions("date", "pump_id")
+        covered = F.create_map(*(F.lit(x) for pair in days.items() for x in pair))
+        rows = rollup(raw).withColumn("covered", F.try_element_at(covered, "date"))
+        rows = rows.hint("rebalance", "date").sortWithinPartitions("date", "pump_id")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
-    return days
+    return sorted(days)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

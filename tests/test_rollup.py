@@ -58,9 +58,29 @@ def test_only_touched_days_are_built(spark, landed, tmp_path):
     assert {f for f in before ^ after if "2023-12-31" not in f} == set()
     raw, rolled = tables.load(spark, paths[0]).raw, rollup.read(spark, paths[1])
     assert rolled.agg(F.sum("n")).first()[0] == raw.count()
+    rolled = rolled.drop("covered")
     assert same(rollup.rollup(raw).select(*rolled.columns), rolled)
 
 
+def test_files_that_land_during_a_build_are_built_next(spark, landed, tmp_path, monkeypatch):
+    import shutil
+
+    shutil.copytree(f"{landed}/landed", f"{tmp_path}/landed")
+    paths, listed = (f"{tmp_path}/landed", f"{tmp_path}/rollup"), rollup.stale_days
+    late = fixtures.events(spark, SF).where("event_id < 50")
+
+    def then_land(*args):
+        found = listed(*args)
+        batch.land(fixtures.payloads(late), paths[0], fixtures.AS_OF, failed_at=F.col("event_time"))
+        return found
+
+    monkeypatch.setattr(rollup, "stale_days", then_land)
+    rollup.build(spark, *paths)
+    monkeypatch.setattr(rollup, "stale_days", listed)
+    assert rollup.build(spark, *paths) == [date(2024, 1, 1)] and rollup.build(spark, *paths) == []
+    assert rollup.read(spark, paths[1]).agg(F.sum("n")).first()[0] == tables.load(spark, paths[0]).raw.count()
+
+
 def test_sketches_count_pumps_over_any_range(spark, landed):
     raw = tables.load(spark, f"{landed}/landed").raw
     sketches = rollup.pump_sketches(raw)
