@@ -9,6 +9,7 @@ overlaps the boundary. So each pair meets in some leaf, and a leaf is searched o
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from math import ceil
@@ -25,6 +26,10 @@ from fluxwell.llm.common import components, linked_within, settle
 SEED = 42
 #: Fingerprints from which trees are built; only their balance depends on it, never which pairs are found.
 TREE_SAMPLE = 32_768
+#: Fingerprints of one crowded leaf from which it gets a tree of its own.
+LEAF_SAMPLE = 4096
+#: Fingerprints of a crowded leaf that one task sends down its tree.
+PART = 1 << 16
 #: Fingerprints that a leaf should hold, and that one search takes; larger leaves are searched block by block.
 LEAF = 4096
 FULL = (1 << 64) - 1
@@ -118,12 +123,55 @@ def route(node: Node, points: np.ndarray, rows: np.ndarray, mask: int, reach: in
     yield from route(node.across, points, rows[(d > node.radius - reach) & (d <= node.radius + reach)], mask, reach)
 
 
+def split_leaves(routed: DataFrame, reach: int) -> DataFrame:
+    """``routed`` (``half``, ``leaf``, ``fp``) with a tree of its own in place of each leaf above ``LEAF``, level by level.
+
+    A leaf's tree is grown in one task from a bounded sample of it, and its fingerprints go down that tree in many. So
+    leaves stay small however many fingerprints there are; only those that no tree can part stay crowded.
+    """
+    most = LEAF
+
+    def grown(frame: pd.DataFrame) -> pd.DataFrame:
+        half, leaf, n, parts = (frame[c].iloc[0] for c in ("half", "leaf", "n", "parts"))
+        sample = np.sort(frame["fp"].to_numpy())[:: max(1, len(frame) // LEAF_SAMPLE)].view(np.uint64)
+        node, leaves = build_tree(sample, HALVES[half], reach, n / len(sample), most)
+        return pd.DataFrame({"half": [half], "leaf": [leaf], "parts": [parts], "leaves": [leaves], "tree": [pickle.dumps(node)]})
+
+    def sent(points: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        half, leaf, node = trees["tree_half"].iloc[0], trees["tree_leaf"].iloc[0], pickle.loads(trees["tree"].iloc[0])
+        fp = points["fp"].to_numpy(dtype=np.int64)
+        found = list(route(node, fp.view(np.uint64), np.arange(len(fp)), HALVES[half], reach))
+        names = np.repeat([f"{leaf}/{sub}" for sub, _ in found], [len(at) for _, at in found])
+        return pd.DataFrame({"half": half, "leaf": names, "fp": fp[np.concatenate([at for _, at in found])]}) if found else pd.DataFrame({"half": [], "leaf": [], "fp": []})
+
+    kind, done = "half int, leaf string, fp long", None
+    while True:
+        sizes = routed.groupBy("half", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
+        sizes = settle(sizes.withColumn("parts", F.ceil(F.col("n") / PART).cast("int")), "leaf-sizes")
+        if sizes.isEmpty():
+            return routed if done is None else done.unionByName(routed)
+        key = ["half", "leaf"]
+        lot = F.pmod(F.xxhash64("fp", F.lit("leaf")), F.lit(1_000_003)) / F.lit(1_000_003.0)
+        sample = routed.join(sizes, key).where(lot < F.lit(2.0 * LEAF_SAMPLE) / F.col("n"))
+        trees = settle(sample.groupBy(*key).applyInPandas(grown, "half int, leaf string, parts int, leaves int, tree binary"), "leaf-trees")
+        parted = trees.where("leaves > 1")
+        part = F.pmod(F.xxhash64("fp", F.lit("part")), F.col("parts")).cast("int")
+        crowded = routed.join(parted.select(*key, "parts"), key).select(*key, "fp", part.alias("part"))
+        # columns of their own, as both sides come from one table
+        spread = parted.select(*(F.col(c).alias(f"tree_{c}") for c in key), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("tree_part"), "tree")
+        grouped = crowded.groupBy(*key, "part").cogroup(spread.groupBy("tree_half", "tree_leaf", "tree_part"))
+        below = grouped.applyInPandas(sent, kind)
+        settled = routed.join(parted.select(*key), key, "left_anti")
+        done = settle(settled if done is None else done.unionByName(settled), "leaves")
+        routed = settle(below, "leaves")
+
+
 def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
     """Links ``a``, ``b`` among distinct fingerprints (column ``fp``) that connect just those within ``bits`` of each other.
 
     A leaf gives each fingerprint at most one link, to the smallest one that it reaches there, so groups
-    never turn into all their pairs. Leaves above ``LEAF`` (fingerprints crowded closer together than a tree
-    can part) are split into blocks by hash, and each pair of blocks is searched on its own.
+    never turn into all their pairs. Leaves above ``LEAF`` get trees of their own; what stays crowded (fingerprints
+    closer together than a tree can part) is split into blocks by hash, and each pair of blocks is searched on its own.
     """
     spark = distinct.sparkSession
     reach = bits // 2
@@ -132,18 +180,14 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
     lot = F.pmod(F.xxhash64("fp", F.lit("tree")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     rows = distinct.where(lot <= share).orderBy(F.xxhash64("fp")).limit(TREE_SAMPLE).collect()
     sample = np.array([r["fp"] for r in rows], dtype=np.int64).view(np.uint64)
-    trees, first = [], 0
-    for mask in HALVES:
-        node, leaves = build_tree(sample, mask, reach, total / max(1, len(sample)))
-        trees.append((node, mask, first))
-        first += leaves
+    trees = [build_tree(sample, mask, reach, total / max(1, len(sample)), LEAF)[0] for mask in HALVES]
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             points = frame["fp"].to_numpy(dtype=np.int64)
-            for node, mask, start in trees:
+            for half, (node, mask) in enumerate(zip(trees, HALVES, strict=True)):
                 for leaf, at in route(node, points.view(np.uint64), np.arange(len(points)), mask, reach):
-                    yield pd.DataFrame({"leaf": start + leaf, "fp": points[at]})
+                    yield pd.DataFrame({"half": half, "leaf": str(leaf), "fp": points[at]})
 
     def searched(frame: pd.DataFrame) -> pd.DataFrame:
         points = np.unique(frame["fp"].to_numpy(dtype=np.int64))
@@ -155,16 +199,16 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
         other = np.flatnonzero(root != np.arange(len(points)))
         return pd.DataFrame({"a": points[other], "b": points[root[other]]})
 
-    routed = settle(distinct.select("fp").mapInPandas(placed, "leaf int, fp long"), "leaves")
-    sizes = routed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
-    blocks = routed.join(sizes.withColumn("blocks", F.ceil(F.col("n") / (LEAF // 2)).cast("int")).drop("n"), "leaf", "left")
+    routed = split_leaves(settle(distinct.select("fp").mapInPandas(placed, "half int, leaf string, fp long"), "leaves"), reach)
+    sizes = routed.groupBy("half", "leaf").agg(F.count("*").alias("n")).where(F.col("n") > LEAF)
+    blocks = routed.join(sizes.withColumn("blocks", F.ceil(F.col("n") / (LEAF // 2)).cast("int")).drop("n"), ["half", "leaf"], "left")
     own = F.pmod(F.xxhash64("fp", F.lit("block")), F.coalesce("blocks", F.lit(1))).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    spread = blocks.select("leaf", "fp", own.alias("own"), "blocks", every.alias("other"))
+    spread = blocks.select("half", "leaf", "fp", own.alias("own"), "blocks", every.alias("other"))
     # a block of a large leaf meets each other block, and with that itself
     spread = spread.where("blocks IS NULL OR own <> other OR blocks = 1")
-    spread = spread.select("leaf", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
-    return spread.groupBy("leaf", "i", "j").applyInPandas(searched, "a long, b long")
+    spread = spread.select("half", "leaf", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
+    return spread.groupBy("half", "leaf", "i", "j").applyInPandas(searched, "a long, b long")
 
 
 def _grouped(docs: DataFrame, bits: int, words: int) -> tuple[DataFrame, DataFrame]:

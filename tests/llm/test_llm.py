@@ -186,8 +186,13 @@ def test_fingerprint():
     assert simhash.fingerprint(None) == 0
 
 
-def test_simhash_links_are_exact(spark, monkeypatch):
+@pytest.mark.parametrize("sample", [32_768, 40])
+def test_simhash_links_are_exact(spark, monkeypatch, sample):
+    """With a small sample the first trees are shallow, and crowded leaves get trees of their own."""
     monkeypatch.setattr(simhash, "LEAF", 40)
+    monkeypatch.setattr(simhash, "TREE_SAMPLE", sample)
+    monkeypatch.setattr(simhash, "LEAF_SAMPLE", 100)
+    monkeypatch.setattr(simhash, "PART", 64)
     random.seed(1)
     points = [random.getrandbits(64) for _ in range(250)]
     for p in points[:60]:
@@ -202,6 +207,14 @@ def test_simhash_links_are_exact(spark, monkeypatch):
     assert [found.get(p, p) for p in points] == [points[k] for k in smallest_reached(len(points), pairs)]
 
 
+def test_crowded_leaves_are_parted(spark):
+    random.seed(2)
+    rows = spark.createDataFrame([(0, "0", random.getrandbits(64) - (1 << 63)) for _ in range(30_000)], "half int, leaf string, fp long")
+    parted = simhash.split_leaves(rows, 1)
+    sizes = [r["count"] for r in parted.groupBy("leaf").count().collect()]
+    assert max(sizes) < 8_000 and len(sizes) > 8 and parted.select("fp").distinct().count() == 30_000
+
+
 def test_simhash_odd_rows(spark, docs, none):
     found = {(r["doc_id"], r["fingerprint"]): r["component_id"] for r in simhash.near_duplicates(docs).collect()}
     assert len(found) == len(ODD) + 1
