@@ -20,6 +20,8 @@ from fluxwell.llm.common import bin_of, let, settle
 SPACE = " \t\n\x0b\x0c\r"
 #: Labelled documents that a list is learned from, at most.
 SAMPLE = 40_000
+#: Labelled documents that are measured for it, at most; their ids are all that is broadcast.
+MEASURED = 2 * SAMPLE
 BINS = 24
 MOST_RULES = 10
 MOST_CONDITIONS = 3
@@ -236,8 +238,15 @@ def _judged(measured: DataFrame, rules: list[Rule], *carried: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge` keeps, with all their columns and nothing added."""
-    rules = learn(settle(statistics(docs), "statistics"), labels)
+    """The rows of ``docs`` that :func:`judge` keeps, with all their columns and nothing added.
+
+    Rules are learned from the first ``MEASURED`` labelled documents in the order of a hash, so that besides those every
+    text is measured once. That leaves :func:`learn` its sample as long as half of them pass the base rules.
+    """
+    ids = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select("doc_id").distinct()
+    ids = settle(ids.orderBy(F.xxhash64("doc_id")).limit(MEASURED), "labelled-ids")
+    labelled = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    rules = learn(settle(statistics(labelled), "statistics"), labels)
     whole = F.struct(*(docs[c] for c in docs.columns)).alias("whole_row")
     carried = docs.select("doc_id", "text", whole)
     return _judged(statistics(carried, "whole_row"), rules, "whole_row").where("kept").select("whole_row.*")
