@@ -170,11 +170,17 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], total:
 
 
 def drawn(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], total: float | None = None) -> DataFrame:
-    """``docs`` with each row as often as :func:`mix` says, and nothing else changed."""
-    classifier, steps, _ = model(docs, labelled, targets, total)
-    names = docs.columns
-    held = docs.select(F.struct(*names).alias("row"), classifier.posteriors(F.col("text")).alias("p"), F.col("doc_id").alias("draw_id"), F.xxhash64("text").alias("lot_key"))
-    times = copies(rate(F.col("p"), steps), "draw_id", "lot_key")
-    # a generator keeps posteriors from being computed for the filter and again for the draws
+    """``docs`` with each row as often as :func:`mix` says, and nothing else changed.
+
+    Rows are written with their posteriors once; fitting reads the posteriors alone, and drawing the rows.
+    """
+    domains = sorted(targets)
+    posteriors = classify(docs, labelled, domains).posteriors(F.col("text"))
+    row = F.struct(*docs.columns).alias("row")
+    held = docs.select(row, n_tokens(F.col("text")).alias("n_tokens"), posteriors.alias("p"), F.xxhash64("text").alias("lot_key"))
+    held = settle(held, "held")
+    steps = fit(held.select("n_tokens", "p"), [targets[d] for d in domains], total)
+    times = copies(rate(F.col("p"), steps), "row.doc_id", "lot_key")
+    # a generator keeps the number of draws from being computed for the filter and again for the draws
     often = held.select("row", F.inline(F.array(F.struct(times.alias("times"))))).where("times > 0")
     return often.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("draw")).select("row.*")
