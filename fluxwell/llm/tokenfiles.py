@@ -56,14 +56,15 @@ class Writer:
         self.ends: list[int] = []
         self.held = self.n_ids = self.n_docs = 0
 
-    def add(self, doc_ids: list, arrays: list[np.ndarray]) -> None:
-        for ids in arrays:
-            self.waiting.append(ids.astype(self.dtype))
-            self.held += len(ids)
-            self.ends.append(self.held - 1)
-            self.n_ids += len(ids)
-            if self.held >= BATCH * self.length:
-                self._flush(self.held - self.held % (BATCH * self.length))
+    def add(self, doc_ids: list, raws: list[bytes], end: bytes) -> None:
+        """Documents with their ids as little-endian unsigned 32-bit integers, each to be closed by ``end``."""
+        ids = np.frombuffer(end.join([*raws, b""]), dtype="<u4").astype(self.dtype)
+        self.ends += (self.held - 1 + np.cumsum([len(x) // 4 + 1 for x in raws])).tolist()
+        self.waiting.append(ids)
+        self.held += len(ids)
+        self.n_ids += len(ids)
+        if self.held >= BATCH * self.length:
+            self._flush(self.held - self.held % (BATCH * self.length))
         self.docs.write_batch(pa.record_batch([pa.array(doc_ids, pa.int64())], names=["doc_id"]))
         self.n_docs += len(doc_ids)
 
@@ -125,7 +126,7 @@ def write(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, lengt
             ids, texts = [None if pd.isna(x) else int(x) for x in frame["doc_id"]], frame["text"].tolist()
             for i, j in tokens.batches(texts):
                 writer = writer or Writer(uri, length, encoder.tokenizer.get_vocab_size())
-                writer.add(ids[i:j], [np.frombuffer(x + end, dtype="<u4") for x in encoder.encode(texts[i:j])])
+                writer.add(ids[i:j], encoder.encode(texts[i:j]), end)
         if writer:
             writer.close()
             yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "path": [uri], "n_docs": [writer.n_docs], "n_ids": [writer.n_ids]})

@@ -43,7 +43,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         added = [] if plain else [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.special = added
         # in a byte-level vocabulary each character of a token's string stands for one byte
         names = (self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size()))
         self.token_bytes = np.array([len(x) for x in names], dtype=np.int64)
@@ -72,7 +72,10 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, with a null as an empty text."""
         # the line break before the first word is taken off again
-        cut = [[] if not x else None if self.special.search(x) else ("\n" + x.replace("\n", " \n")).split(" ") for x in texts]
+        cut = [("\n" + x.replace("\n", " \n")).split(" ") if x else [] for x in texts]
+        for special in self.special:
+            # such a text is encoded as it is
+            cut = [None if x and special in x else words for x, words in zip(texts, cut, strict=True)]
         new = set().union(*(x for x in cut if x)).difference(self.kept)
         if new:
             self._keep(new)
