@@ -153,13 +153,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from a bounded sample of ``docs`` (``doc_id``, ``text``) that ``labels`` (``doc_id``, ``toxic``) mark.
 
     Held-out rows, null ids and labels other than 0 and 1 teach nothing. The sample is ``SAMPLE`` documents of
-    each label in the order of a hash; whole texts of these, and nothing else, reach the driver.
+    each label in the order of a hash; whole texts of these, and nothing else, reach the driver. Of texts that share
+    a ``doc_id`` the one with the smallest hash teaches, so the model does not depend on the order of rows.
     """
     known = labels.where((F.col("toxic").isin(0, 1)) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     picked = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id")).limit(n) for k, n in SAMPLE.items()]
     picked = picked[0].union(picked[1])
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
     rows = sorted(texts.collect(), key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 

@@ -282,6 +282,36 @@ def test_embeddings(spark, monkeypatch):
     assert [tuple(r) for r in found] == [(i, counts[i], roots[i], roots[i] == i) for i in range(n + 6)]
 
 
+def test_embeddings_cells_are_cut_level_by_level(spark, monkeypatch):
+    for name, value in {"CELL": 24, "BLOCK": 16, "SAMPLE": 96, "PART": 40, "MOST_PIVOTS": 4}.items():
+        monkeypatch.setattr(embeddings, name, value)
+    draw = np.random.default_rng(11)
+    spread = draw.normal(size=(500, 3))
+    crowd = np.array([1.0, 2.0, 3.0]) + 0.02 * draw.normal(size=(60, 3))  # all within reach: no pivots can cut these
+    vectors = np.concatenate([spread, crowd, draw.normal(size=(80, 3))])
+    labels = ["a"] * 560 + ["b"] * 80
+    n = len(vectors)
+    # rows that repeat an id, and rows without one, count each
+    ids = [None if i in (7, 520) else 3 if i == 9 else i for i in range(n)]
+    rows = [(ids[i], [float(x) for x in v], labels[i], float(i), "x") for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string, home double, cell string")
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    near = (unit @ unit.T >= 0.998) & (np.array(labels)[:, None] == np.array(labels)[None, :])
+    np.fill_diagonal(near, False)
+    root = smallest_reached(n, zip(*np.nonzero(near), strict=True))
+    least = {}
+    for i in range(n):
+        if ids[i] is not None:
+            least[root[i]] = min(least.get(root[i], ids[i]), ids[i])
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2] is None, r[2] or 0)
+    expected = sorted(((ids[i], int(near[i].sum()), least.get(root[i]), ids[i] == least.get(root[i])) for i in range(n)), key=key)
+    assert sorted((tuple(r) for r in embeddings.near_vectors(table, 0.998).collect()), key=key) == expected
+    distinct = table.selectExpr("vec_id AS id", "label", "size(embedding) AS dims", "1L AS copies", "embedding").where("id IS NOT NULL")
+    cells = embeddings.cut_cells(distinct, 0.0633).groupBy("cell", "levels").count().collect()
+    assert max(r["levels"] for r in cells) >= 7 and max(r["count"] for r in cells) > 24
+    assert embeddings.near_vectors(table.limit(0)).collect() == []
+
+
 def test_quality_statistics_and_rules(spark, docs, none):
     for r in rules.judge(docs, labels_of(spark)).collect():
         if r["doc_id"] is None or r["doc_id"] == 3:
@@ -417,6 +447,16 @@ def test_toxicity(spark, docs, none):
     assert toxicity.toxicity(docs, labels_of(spark)).count() == docs.count() and toxicity.toxicity(none, marked).count() == 0
 
 
+def test_toxicity_teaches_one_text_of_a_repeated_id(spark, monkeypatch):
+    taught = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks: taught.append((texts, marks)))
+    rows = [(i, f"{kind} {i}") for i in range(40) for kind in ("first", "second", "third")]
+    marked = labels_of(spark, [(i, 1, i % 2) for i in range(40)] * 2)
+    for some in (rows, rows[::-1]):
+        toxicity.fit(spark.createDataFrame(some, "doc_id long, text string").repartition(5), marked)
+    assert taught[0] == taught[1] and len(taught[0][0]) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40))
+
+
 def test_toxicity_training_is_the_same_without_kept_grams(monkeypatch):
     random.seed(8)
     texts = [" ".join(random.choice(("river", "stone", "paper", *["grubbish"] * (i % 2))) for _ in range(random.choice((1, 40, 120)))) for i in range(60)]
