@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -215,18 +216,27 @@ def stream_agg_5m(spark, sf_dir):
     return _stream_windows(spark, sf_dir, "5m")
 
 
+#: Events that a file of a slice should hold: a slice comes in as many files as its size wants, and as many tasks parse it.
+FILE_ROWS = 25_000
+
+
+def _files_a_slice(events: DataFrame) -> int:
+    return max(1, ceil(events.count() / (fixtures.SLICES * FILE_ROWS)))
+
+
 def _arriving(spark: SparkSession, sf_dir: str, root: str, late: bool = True):
-    """Write the events slice by slice, as they arrive; yields after each slice."""
+    """Write the events slice by slice, as they arrive; yields a reader and the files of a slice after each slice."""
     events = fixtures.events(spark, sf_dir)
+    files = _files_a_slice(events)
     for k in range(fixtures.SLICES):
-        events.where(fixtures.arrival(events, late) == k).coalesce(1).write.mode("append").parquet(f"{root}/events")
-        yield spark.readStream.schema(fixtures.EVENTS_DDL)
+        events.where(fixtures.arrival(events, late) == k).repartition(files).write.mode("append").parquet(f"{root}/events")
+        yield spark.readStream.schema(fixtures.EVENTS_DDL), files
 
 
 def _late_stream(spark: SparkSession, sf_dir: str, size: str) -> str:
     """Land and aggregate after every slice, each time from the checkpoint: rows of a later slice find closed windows."""
     root = shared_folder(require(spark))
-    for reader in _arriving(spark, sf_dir, root):
+    for reader, _ in _arriving(spark, sf_dir, root):
         _land(spark, root, reader.parquet(f"{root}/events"))
         _window_stream(spark, root, size).awaitTermination()
     return root
@@ -249,9 +259,9 @@ def late_windows(spark, sf_dir):
 def stream_restart_5m(spark, sf_dir):
     """Micro-batches of a few files each, stopped on the way and started again, late rows repaired: all windows in the end."""
     root = shared_folder(require(spark))
-    for reader in _arriving(spark, sf_dir, root):
+    for reader, files in _arriving(spark, sf_dir, root):
         pass
-    _land(spark, root, reader.option("maxFilesPerTrigger", 1).parquet(f"{root}/events"))
+    _land(spark, root, reader.option("maxFilesPerTrigger", files).parquet(f"{root}/events"))
     query = _window_stream(spark, root, "5m", 2, {"processingTime": "0 seconds"})
     while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < 1):
         query.awaitTermination(1)
