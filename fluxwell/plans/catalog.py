@@ -15,6 +15,7 @@ from fluxwell.operators.validate import Rule, validate
 from fluxwell.plans import analytics, batch, ops, quality, rollup
 from fluxwell.schema import RANGE
 from fluxwell.session import require, shared_folder
+from fluxwell.sources import tables
 from fluxwell.streaming import pipeline, reconcile
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,11 +263,13 @@ def stream_restart_5m(spark, sf_dir):
     for reader, files in _arriving(spark, sf_dir, root):
         pass
     _land(spark, root, reader.option("maxFilesPerTrigger", files).parquet(f"{root}/events"))
-    query = _window_stream(spark, root, "5m", 2, {"processingTime": "0 seconds"})
+    # a larger table has more files and not more micro-batches: a share is what one task a slice writes, valid or dead
+    share = max(1, tables.files_of(spark, f"{root}/landed").count() // (2 * fixtures.SLICES))
+    query = _window_stream(spark, root, "5m", 2 * share, {"processingTime": "0 seconds"})
     while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] < 1):
         query.awaitTermination(1)
     query.stop()
-    _window_stream(spark, root, "5m", 1).awaitTermination()
+    _window_stream(spark, root, "5m", share).awaitTermination()
     paths = f"{root}/landed", f"{root}/aggregated_metrics", f"{root}/checkpoint"
     reconcile.repair(spark, *paths, "5m")
     return reconcile.all_windows(spark, *paths[1:], "5m").drop("is_open")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fluxwell import schema
 from fluxwell.operators import aggregate
+from fluxwell.plans import catalog
 from fluxwell.streaming import pipeline, reconcile
 
 T0 = datetime(2024, 3, 1)
@@ -112,3 +113,21 @@ def test_restart_carries_state_over_many_small_batches(spark, tmp_path):
 def test_state_of_sketches_is_refused(spark):
     with pytest.raises(ValueError, match="quantiles"):
         reconcile.open_windows(spark, "nowhere", metrics={"flow": ("flow_rate_lpm", ("median",))})
+
+
+def test_a_large_table_arrives_in_more_files_and_not_in_more_micro_batches(spark, tmp_path, monkeypatch):
+    """Rows of one slice come in several files, so that several tasks parse them; every window comes out all the same."""
+    root = tmp_path / "root"
+    monkeypatch.setattr(catalog, "FILE_ROWS", 25, raising=False)
+    monkeypatch.setattr(catalog, "shared_folder", lambda spark: str(root))
+    hour = timedelta(hours=1)
+    rows = [(i, datetime(2024, 1, 1) + i * 2 * hour - i % 3 * 5 * hour, i % 7, "view", float(i % 90), '{"k": %d}' % (i % 50)) for i in range(30, 350)]
+    rows += [rows[7], (None, datetime(2024, 1, 9), None, "view", 1.0, '{"k": 1}')]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = Counter(map(tuple, catalog.stream_restart_5m(spark, str(tmp_path)).collect()))
+    assert found == Counter(map(tuple, catalog.agg_5m(spark, str(tmp_path)).collect())) and len(found) > 100
+    assert len(list((root / "events").glob("part-*"))) == 16
+    assert spark.read.parquet(f"{root}/events").exceptAll(events).isEmpty() and spark.read.parquet(f"{root}/events").count() == len(rows)
+    batches = [x for x in (root / "checkpoint" / "agg-5m" / "offsets").iterdir() if x.name.isdigit()]
+    assert len(batches) <= 4 * 3
