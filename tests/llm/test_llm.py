@@ -71,6 +71,38 @@ def test_encoder_equals_library():
             assert np.frombuffer(raw, dtype="<u4").tolist() == ids(text), text
 
 
+class Counting:
+    """A tokenizer that counts the characters that it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.chars = inner, 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.chars += sum(map(len, texts))
+        return self.inner.encode_batch_fast(texts, **more)
+
+
+def test_words_are_encoded_once_whatever_ends_them():
+    encoder, ids = tokens.Encoder(tokens.vocabulary()), library_ids()
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    words = [f"wörd{x}é" for x in "abcdefghijklmnopqrstuvwxyz"]
+    texts = ["a " + " ".join(w + end for w in words) for end in ("", ",", "...", "_'", "!)", "'s,", "\u0301,", ",\u0301")]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == ids(text)
+    # the word alone, before 's, and with an accent of its own are words apart; the other ends come on their own
+    assert encoder.tokenizer.chars < 5 * len(texts[0]) + 60
+
+
+def test_words_met_last_stay_known(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_WORDS", 40)
+    encoder, ids = tokens.Encoder(tokens.vocabulary()), library_ids()
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    for k in range(200):
+        text = f"all of these words come again and again but new{k} never"
+        assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == ids(text)
+    assert encoder.tokenizer.chars < 200 * len(" new100") + 60
+
+
 def test_token_files_and_counts(spark, docs, none):
     ids = library_ids()
     rows = sorted(((r["doc_id"], ids(r["text"])) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
