@@ -5,7 +5,7 @@ before. Byte-level BPE never merges across the pieces of its splitting pattern,
 ids of its pieces in a row. Where white space only comes in single characters, a text may be cut before
 each space and each line break; and any text may be cut between a letter or digit and the ASCII punctuation that
 ends a word. Arrow cuts the texts of a batch, numbers their words and puts their ids together. Words are encoded
-once per process and kept; those that a batch brings anew are encoded in one call. Other texts go to the library
+once per process and kept; those that a batch brings anew are encoded in a few calls. Other texts go to the library
 as they are, and so do texts that hold the string of a special token, unless such strings are asked to be plain text.
 """
 
@@ -22,6 +22,10 @@ import pyarrow.compute as pc
 
 #: Words kept by a process; beyond that it keeps half as many, those that it met last, which bounds its memory.
 KEPT_WORDS = 400_000
+#: Longer words, in bytes, are encoded once per batch and not kept.
+LONGEST_KEPT = 100
+#: Characters of words that the library gets at once; it needs about a hundred bytes for each.
+AT_ONCE = 250_000
 #: White space that a word may only start with as a line break.
 SPACE = re.compile(r"\s")
 #: White space at which texts are not cut.
@@ -79,7 +83,7 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
     def _encoded(self, words: list[str]) -> pa.Array:
-        """Ids of different words, encoded as one text: a word stands after a space, or starts with its line break.
+        """Ids of different words, encoded as a few long texts: a word stands after a space, or starts with its line break.
 
         Empty words and those with other white space come from white space that isn't single; they have no
         ids, and texts that hold them are encoded as they are.
@@ -88,7 +92,8 @@ class Encoder:
         if OTHER_SPACE.search("".join(words)):
             has &= [not SPACE.search(x, x[:1] == "\n") for x in words]
         good = words if has.all() else [x for x, y in zip(words, has.tolist(), strict=True) if y]
-        raw = self._whole("".join([x if x[0] == "\n" else " " + x for x in good]))
+        spaced = [x if x[0] == "\n" else " " + x for x in good]
+        raw = b"".join(self._whole("".join(spaced[i:j])) for i, j in batches(spaced, AT_ONCE))
         bytes_to = np.cumsum(self.token_bytes[np.frombuffer(raw, dtype="<u4")])
         sizes = np.zeros(len(words), np.int64)
         sizes[has] = pc.binary_length(pa.array(good, TEXT)).to_numpy() + [x[0] != "\n" for x in good]
@@ -110,8 +115,10 @@ class Encoder:
         self.turn += 1
         self.met[at] = self.turn
         found = self.ids.take(pa.array(at))
-        if len(self.words) > KEPT_WORDS:
-            keep = np.argsort(self.met, kind="stable")[-(KEPT_WORDS // 2) :]
+        if len(self.words) > KEPT_WORDS or len(new) and pc.max(pc.binary_length(new)).as_py() > LONGEST_KEPT:
+            keep = np.flatnonzero(pc.binary_length(self.words).to_numpy() <= LONGEST_KEPT)
+            if len(keep) > KEPT_WORDS:
+                keep = keep[np.argsort(self.met[keep], kind="stable")[-(KEPT_WORDS // 2) :]]
             self.words, self.ids, self.met = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep)), self.met[keep]
         return found
 

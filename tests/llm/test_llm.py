@@ -103,6 +103,14 @@ def test_words_met_last_stay_known(monkeypatch):
     assert encoder.tokenizer.chars < 200 * len(" new100") + 60
 
 
+def test_long_words_are_not_kept():
+    encoder, ids = tokens.Encoder(tokens.vocabulary()), library_ids()
+    texts = ["short " + "語" * 3000 + f"{k}, short" for k in range(20)]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == ids(text)
+    assert encoder.words.to_pylist() == ["\nshort", "short"] and len(encoder.ids) == len(encoder.met) == 2
+
+
 def test_token_files_and_counts(spark, docs, none):
     ids = library_ids()
     rows = sorted(((r["doc_id"], ids(r["text"])) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
