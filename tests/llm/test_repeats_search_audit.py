@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import permutations
 from math import floor, log
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from fluxwell.llm import audit, ranking, suffixes
+from fluxwell.llm import audit, common, ranking, suffixes
 
 DOCS = "doc_id long, text string, lang string, row string, part string, n long, hash long, spans string"
 SHARED = " ".join(f"shared{i}passage" for i in range(60))
@@ -94,6 +96,53 @@ def test_levels_of_the_index(spark, texts):
     assert key(index) == key(whole)
 
 
+def shuffled(spark):
+    """Names of the shuffle files on disk."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {x for x in blocks.mkString(",").split(",") if x.startswith("shuffle_")}
+
+
+def left_over(spark, before):
+    """Shuffle files that are not in ``before`` and don't go; Spark removes them in the background."""
+    end = time.time() + 10
+    while (found := shuffled(spark) - before) and time.time() < end:
+        time.sleep(0.1)
+    return found
+
+
+def test_settled_tables_keep_no_shuffle_files(spark):
+    before = shuffled(spark)
+    counts = spark.range(1000, numPartitions=4).groupBy((F.col("id") % 7).alias("k")).count()
+    found = common.settle(counts)
+    assert not left_over(spark, before)
+    assert spark.conf.get(common.CLEANUP, None) is None
+    assert sorted(r["count"] for r in found.collect()) == [142] + [143] * 6
+    spark.conf.set(common.CLEANUP, "false")
+    try:
+        common.settle(counts)
+        assert spark.conf.get(common.CLEANUP) == "false" and not left_over(spark, before)
+    finally:
+        spark.conf.unset(common.CLEANUP)
+
+
+def test_only_settled_tables_are_discarded(spark, tmp_path):
+    spark.range(3).write.parquet(f"{tmp_path}/given")
+    given = spark.read.parquet(f"{tmp_path}/given")
+    with pytest.raises(KeyError):
+        common.discard(given)
+    assert given.count() == 3
+
+
+def test_repeats_leave_one_table(spark, texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "new_path", lambda spark, name: f"{tmp_path}/{name}-{time.time_ns()}")
+    docs = frame_of(spark, texts).repartition(3)
+    before = shuffled(spark)
+    found = suffixes.remove_repeats(docs)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["spans"]
+    assert not left_over(spark, before)
+    assert [bool(r["spans"]) for r in found.orderBy("doc_id").collect()] == [bool(x) for x in repeats([(t or "").encode() for t in texts])]
+
+
 def test_sampled_places_are_a_matter_of_the_window(texts):
     r = random.Random(2)
     for _ in range(20):
